@@ -6,6 +6,8 @@ no join, no grouping, so the frame costs one narrow scan at any size.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -143,18 +145,22 @@ def rated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_STAGES: dict[tuple[str, str], str] = {}
+_STAGES: dict[tuple[str, str, str], str] = {}
 
 
-def scored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The scored stage as a Parquet table in the shared folder.
+def stage(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A stage table in the shared folder, written once per application and input.
 
-    Written once per application and input; every report after it scans only the
-    columns it needs, with its filters pushed down.
+    Later queries scan only the columns they need from it, with their filters
+    pushed down, as jobs that follow each other through tables do.
     """
-    stage = (spark.sparkContext.applicationId, sf_dir)
-    if stage not in _STAGES:
-        path = scratch_path(spark, "scored")
-        write_table(scored(spark, sf_dir), path)
-        _STAGES[stage] = path
-    return read_table(spark, _STAGES[stage])
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STAGES:
+        path = scratch_path(spark, name)
+        write_table(build(), path)
+        _STAGES[key] = path
+    return read_table(spark, _STAGES[key])
+
+
+def scored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stage(spark, sf_dir, "scored", lambda: scored(spark, sf_dir))

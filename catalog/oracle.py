@@ -338,10 +338,10 @@ ORACLE: dict[str, str] = {
     "role_extremes": with_(ROLES, f"""SELECT "DevType", {ROLE_LABEL} AS "RoleLabel", "DeveloperCount", round("AvgTrustScore", 6) AS "AvgTrustScore",
         "AvgTrustScore" >= (SELECT median("AvgTrustScore") FROM roles) AS "AboveMedian", printf('%.1f', "AvgTrustScore") AS "TrustLabel",
         format('{{:,}}', "DeveloperCount") AS "CountLabel"
-        FROM (SELECT *, row_number() OVER (ORDER BY "AvgTrustScore", "DevType") AS lo, row_number() OVER (ORDER BY "AvgTrustScore" DESC, "DevType") AS hi FROM roles)
+        FROM (SELECT *, row_number() OVER (ORDER BY "AvgTrustScore", "DevType") AS lo, row_number() OVER (ORDER BY "AvgTrustScore" DESC, "DevType") AS hi FROM roles WHERE "AvgTrustScore" IS NOT NULL)
         WHERE lo <= 3 OR hi <= 4"""),
     "role_extremes_selected": with_(ROLES, f""", picked AS (SELECT * FROM
-        (SELECT *, row_number() OVER (ORDER BY "AvgTrustScore", "DevType") AS lo, row_number() OVER (ORDER BY "AvgTrustScore" DESC, "DevType") AS hi FROM roles)
+        (SELECT *, row_number() OVER (ORDER BY "AvgTrustScore", "DevType") AS lo, row_number() OVER (ORDER BY "AvgTrustScore" DESC, "DevType") AS hi FROM roles WHERE "AvgTrustScore" IS NOT NULL)
         WHERE lo <= 5 OR hi <= 3)
         SELECT "DevType", {ROLE_LABEL} AS "RoleLabel", "DeveloperCount", round("AvgTrustScore", 6) AS "AvgTrustScore",
         "AvgTrustScore" >= (SELECT median("AvgTrustScore") FROM picked) AS "AboveMedian", printf('%.1f', "AvgTrustScore") AS "TrustLabel",

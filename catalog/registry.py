@@ -311,7 +311,7 @@ def median_cut(spark, sf_dir):
 @query
 def median_cut_many_values(spark, sf_dir):
     """Lower medians of columns with about as many values as rows."""
-    return median_cuts(R.load(spark, sf_dir, "lineitem"), ["l_extendedprice", "l_quantity"])
+    return median_cuts(R.load(spark, sf_dir, "lineitem"), ["l_extendedprice", "l_quantity"], "sliced")
 
 
 @query
@@ -628,7 +628,7 @@ def quality_report(spark, sf_dir):
 # --- models -------------------------------------------------------------------
 
 def _vectors(spark, sf_dir):
-    return models.cluster_vectors(R.scored_table(spark, sf_dir))
+    return R.stage(spark, sf_dir, "vectors", lambda: models.cluster_vectors(R.scored_table(spark, sf_dir)))
 
 
 def _embedding_points(spark, sf_dir):
@@ -657,6 +657,22 @@ def silhouette_sampled(spark, sf_dir):
     return K.silhouette_sampled(_embedding_points(spark, sf_dir), "label", "embedding", "vec_id")
 
 
+def _segments(spark, sf_dir):
+    """Clustered rows, fitted once per application and input."""
+    return R.stage(spark, sf_dir, "segments", lambda: models.segment(_vectors(spark, sf_dir)))
+
+
+_EVALUATED: dict[tuple[str, str], models.Evaluated] = {}
+
+
+def _evaluated(spark, sf_dir):
+    """The evaluated ensemble, fitted once per application and input."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _EVALUATED:
+        _EVALUATED[key] = models.classify(R.scored_table(spark, sf_dir))
+    return _EVALUATED[key]
+
+
 @query
 def kmeans_scan(spark, sf_dir):
     return K.kmeans_scan(_vectors(spark, sf_dir), V.KEY)
@@ -664,18 +680,18 @@ def kmeans_scan(spark, sf_dir):
 
 @query
 def kmeans_assign(spark, sf_dir):
-    return models.segment(_vectors(spark, sf_dir)).select(V.KEY, long("Cluster"))
+    return _segments(spark, sf_dir).select(V.KEY, long("Cluster"))
 
 
 @query
 def cluster_summary(spark, sf_dir):
-    return K.cluster_summary(models.segment(_vectors(spark, sf_dir)), V.CLUSTER_FEATURES)
+    return K.cluster_summary(_segments(spark, sf_dir), V.CLUSTER_FEATURES)
 
 
 @query
 def named_cluster_table(spark, sf_dir):
     """Cluster summary with segment names from a caller's map."""
-    summary = K.cluster_summary(models.segment(_vectors(spark, sf_dir)), V.CLUSTER_FEATURES)
+    summary = K.cluster_summary(_segments(spark, sf_dir), V.CLUSTER_FEATURES)
     return views.named_clusters(summary, {i: (f"Segment {i}", f"Rank {i} by mean usage") for i in range(4)})
 
 
@@ -686,21 +702,20 @@ def pca_project(spark, sf_dir):
 
 @query
 def cluster_points(spark, sf_dir):
-    """Bounded sample of projected rows coloured by cluster."""
-    vectors = _vectors(spark, sf_dir)
-    return views.cluster_points(K.project_2d(models.segment(vectors)))
+    """Bounded sample of projected rows with their cluster."""
+    return views.cluster_points(K.project_2d(_segments(spark, sf_dir)))
 
 
 @query
 def rf_ensemble(spark, sf_dir):
-    return models.classify(R.scored_table(spark, sf_dir)).predictions
+    return _evaluated(spark, sf_dir).predictions
 
 
 @query
 def feature_importance(spark, sf_dir):
-    return views.importance_bars(models.classify(R.scored_table(spark, sf_dir)).importance)
+    return views.importance_bars(_evaluated(spark, sf_dir).importance)
 
 
 @query
 def model_evaluation(spark, sf_dir):
-    return models.classify(R.scored_table(spark, sf_dir)).strip
+    return _evaluated(spark, sf_dir).strip

@@ -10,13 +10,12 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorelab.functions.encode import named
 from scorelab.operators.sampling import bounded_sample
 from scorelab.operators.segments import one_row
-from scorelab.session import materialise
 
 BLOCKS = 16  # a bounded sample is compared block by block
 
@@ -41,32 +40,35 @@ def standardize(df: DataFrame, columns: Sequence[str], suffix: str = "_z") -> Da
 
 
 def standardized_vectors(df: DataFrame, columns: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """Complete rows with a standardised ``features`` vector, written out once
-    because every fit reads them many times."""
+    """Complete rows with a standardised ``features`` vector.  Write them to a table
+    before fitting: every fit reads them many times."""
     names = list(dict.fromkeys([*keep, *columns]))
     complete = df.select(*[named(c) for c in names]).dropna(subset=list(columns))
     scaled = standardize(complete, columns)
     vectors = VectorAssembler(inputCols=[f"{c}_z" for c in columns], outputCol="features").transform(scaled)
-    return materialise(vectors.select(*[named(c) for c in names], "features"), "vectors")
+    return vectors.select(*[named(c) for c in names], "features")
 
 
-def in_parallel(tasks: Iterable[Callable], workers: int) -> list:
+def in_parallel(spark: SparkSession, tasks: Iterable[Callable], workers: int) -> list:
     """Run independent fits from a few client threads; each fit is itself a set of
     distributed jobs, so this only fills gaps between them."""
-    wrapped = [inheritable_thread_target(task) for task in tasks]
+    wrapped = [inheritable_thread_target(spark)(task) for task in tasks]
     with ThreadPool(max(1, workers)) as pool:
         return pool.map(lambda task: task(), wrapped)
 
 
-def best_kmeans(vectors: DataFrame, k: int, seed: int = 42, starts: int = 10, workers: int = 4,
-                max_iter: int = 20) -> KMeansModel:
-    """The cheapest of several seeded starts."""
+def best_kmeans(vectors: DataFrame, ks: Sequence[int], seed: int = 42, starts: int = 10, workers: int = 8,
+                max_iter: int = 20) -> dict[int, KMeansModel]:
+    """Per k the cheapest of several seeded starts."""
 
-    def fit(start: int) -> Callable[[], KMeansModel]:
-        return lambda: KMeans(k=k, seed=seed + start, maxIter=max_iter, featuresCol="features").fit(vectors)
+    def fit(k: int, start: int) -> Callable[[], tuple[int, KMeansModel]]:
+        estimator = KMeans(k=k, seed=seed + start, maxIter=max_iter, featuresCol="features")
+        return lambda: (k, estimator.fit(rows))
 
-    models = in_parallel([fit(s) for s in range(starts)], workers)
-    return min(models, key=lambda m: m.summary.trainingCost)
+    rows = vectors.select("features").persist()
+    fitted = in_parallel(vectors.sparkSession, [fit(k, start) for k in ks for start in range(starts)], workers)
+    rows.unpersist()
+    return {k: min((m for kk, m in fitted if kk == k), key=lambda m: m.summary.trainingCost) for k in ks}
 
 
 def assign_clusters(vectors: DataFrame, model: KMeansModel, name: str = "Cluster") -> DataFrame:
@@ -86,27 +88,25 @@ def kmeans_scan(
     seed: int = 42,
     starts: int = 10,
     sample_cap: int | None = 5000,
-    workers: int = 4,
+    workers: int = 8,
 ) -> DataFrame:
     """(k, inertia, silhouette) sorted by k.
 
     The silhouette is the Euclidean one on a bounded sample; with
     ``sample_cap=None`` it is the squared-Euclidean one over all rows.
     """
-    spark = vectors.sparkSession
-    cached = vectors.persist()
-    rows = []
-    for k in ks:
-        model = best_kmeans(cached, k, seed, starts, workers)
-        marked = assign_clusters(cached, model)
+    models = best_kmeans(vectors, ks, seed, starts, workers)
+
+    def score(k: int) -> Callable[[], float]:
+        marked = assign_clusters(vectors, models[k])
         if sample_cap is None:
-            silhouette = silhouette_all(marked, "Cluster")
-        else:
-            points = marked.withColumn("features", vector_to_array("features"))
-            silhouette = silhouette_sampled(points, "Cluster", "features", key, sample_cap, seed)
-        rows.append((k, float(model.summary.trainingCost), float(silhouette.first()[0])))
-    cached.unpersist()
-    return spark.createDataFrame(rows, "k int, inertia double, silhouette double").orderBy("k")
+            return lambda: silhouette_all(marked, "Cluster").first()[0]
+        points = marked.withColumn("features", vector_to_array("features"))
+        return lambda: silhouette_sampled(points, "Cluster", "features", key, sample_cap, seed).first()[0]
+
+    scores = in_parallel(vectors.sparkSession, [score(k) for k in ks], workers)
+    rows = [(k, float(models[k].summary.trainingCost), float(s)) for k, s in zip(ks, scores)]
+    return vectors.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double").orderBy("k")
 
 
 def silhouette_all(df: DataFrame, cluster: str, features: str = "features") -> DataFrame:

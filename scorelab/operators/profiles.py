@@ -102,9 +102,10 @@ def top_k(df: DataFrame, value: str, k: int, ties: Sequence[str], ascending_outp
 
 
 def extremes(df: DataFrame, key: str, value: str, bottom: int, top: int) -> DataFrame:
-    """The lowest and highest groups in one ascending list, none twice."""
-    lowest = df.orderBy(named(value), named(key)).limit(bottom)
-    highest = df.orderBy(named(value).desc(), named(key)).limit(top)
+    """The lowest and highest groups with a known value, in one ascending list, none twice."""
+    rated = df.where(named(value).isNotNull())
+    lowest = rated.orderBy(named(value), named(key)).limit(bottom)
+    highest = rated.orderBy(named(value).desc(), named(key)).limit(top)
     return lowest.unionByName(highest).dropDuplicates([key]).orderBy(named(value), named(key))
 
 

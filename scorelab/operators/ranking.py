@@ -9,41 +9,73 @@ from pyspark.sql import functions as F
 
 from scorelab.functions.encode import named
 
-SLICES = 200  # value ranges a running total is cut into
+SIDE = 32
+SLICES = SIDE * SIDE  # value ranges a running total is cut into
 
 
-def running_totals(df: DataFrame, groups: Sequence[str], order: str, sums: Sequence[str]) -> DataFrame:
-    """Add ``<sum>_before``: the total of ``sum`` over smaller ``order`` values.
+def _sliced(df: DataFrame, groups: Sequence[str], order: str, sums: Sequence[str]) -> DataFrame:
+    """Add ``_slice``, a value range of about equal count, and ``<sum>_total`` per group.
 
-    ``df`` holds one row per (groups, order) value.  Each group's values are cut
-    into about 200 ranges of equal count; totals per range (at most 201 rows per
-    group) give the range offsets, and a window per range does the rest.  So no
-    task ever sorts a whole group, however many distinct values it has.
+    Totals and range limits come from one aggregate that is a single row per
+    group; the callers' groups are a fixed list of column names, so the
+    broadcast is too.  A value is located among 31 coarse limits first, then
+    among the 31 fine ones that follow.
     """
-    points = [i / SLICES for i in range(1, SLICES)]
-    edges = df.groupBy(*groups).agg(
-        F.percentile_approx(named(order), points, 10 * SLICES).alias("_edges")
+    # One text literal: a thousand literal nodes would slow every planning step.
+    points = F.split(F.lit(",".join(str(i / SLICES) for i in range(1, SLICES))), ",").cast("array<double>")
+    limits = df.groupBy(*groups).agg(
+        F.percentile_approx(named(order), points, 10 * SLICES).alias("_fine"),
+        *[F.sum(named(s)).alias(f"{s}_total") for s in sums],
     )
-    # One row of fixed size per group; callers' groups are a fixed list of names.
-    sliced = df.join(F.broadcast(edges), list(groups)).withColumn(
-        "_slice", F.size(F.filter("_edges", lambda e: e <= named(order)))
-    ).drop("_edges")
-    totals = sliced.groupBy(*groups, "_slice").agg(*[F.sum(named(s)).alias(f"_{s}") for s in sums])
+    coarse = F.array(*[F.element_at("_fine", i * SIDE) for i in range(1, SIDE)])
+    limits = limits.withColumn("_coarse", coarse)
+
+    def passed(edges):
+        return F.size(F.filter(edges, lambda edge: edge <= named(order)))
+
+    stepped = df.join(F.broadcast(limits), list(groups)).withColumn("_step", passed("_coarse"))
+    fine = F.slice("_fine", F.col("_step") * SIDE + 1, F.lit(SIDE - 1))
+    return stepped.withColumn("_slice", F.col("_step") * SIDE + passed(fine)).drop("_fine", "_coarse", "_step")
+
+
+def _slice_keys(groups: Sequence[str], sums: Sequence[str]) -> list[str]:
+    # Totals belong to the group; as keys they keep both uses of the limits the
+    # same plan, so Spark computes them, and the counts below them, once.
+    return [*groups, "_slice", *[f"{s}_total" for s in sums]]
+
+
+def _slice_offsets(sliced: DataFrame, groups: Sequence[str], sums: Sequence[str]) -> DataFrame:
+    """Per slice the sums and their totals over earlier slices: at most 1,024 rows per group."""
+    totals = sliced.groupBy(*_slice_keys(groups, sums)).agg(*[F.sum(named(s)).alias(f"_{s}_here") for s in sums])
     earlier = Window.partitionBy(*groups).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *groups, "_slice",
-        *[F.coalesce(F.sum(f"_{s}").over(earlier), F.lit(0)).alias(f"_{s}_offset") for s in sums],
-    )
+    return totals.withColumns({f"_{s}_offset": F.coalesce(F.sum(f"_{s}_here").over(earlier), F.lit(0)) for s in sums})
+
+
+def _add_running(located: DataFrame, groups: Sequence[str], order: str, sums: Sequence[str]) -> DataFrame:
     inside = (
         Window.partitionBy(*groups, "_slice").orderBy(named(order)).rowsBetween(Window.unboundedPreceding, -1)
     )
-    # At most SLICES rows per group.
-    return sliced.join(F.broadcast(offsets), [*groups, "_slice"]).select(
-        *[named(c) for c in df.columns],
-        *[
-            (F.col(f"_{s}_offset") + F.coalesce(F.sum(named(s)).over(inside), F.lit(0))).alias(f"{s}_before")
+    return located.withColumns(
+        {
+            f"{s}_before": F.col(f"_{s}_offset") + F.coalesce(F.sum(named(s)).over(inside), F.lit(0))
             for s in sums
-        ],
+        }
+    )
+
+
+def running_totals(df: DataFrame, groups: Sequence[str], order: str, sums: Sequence[str]) -> DataFrame:
+    """Add ``<sum>_before``, the total of ``sum`` over smaller ``order`` values, and
+    ``<sum>_total``.
+
+    ``df`` holds one row per (groups, order) value.  Each group is cut into about
+    a thousand value ranges; totals per range give offsets, and a window per range
+    does the rest.  So no task sorts a whole group, however many values it has.
+    """
+    sliced = _sliced(df, groups, order, sums)
+    offsets = _slice_offsets(sliced, groups, sums)
+    located = sliced.join(F.broadcast(offsets), _slice_keys(groups, sums))  # at most SLICES rows per group
+    return _add_running(located, groups, order, sums).select(
+        *[named(c) for c in df.columns], *[f"{s}_before" for s in sums], *[f"{s}_total" for s in sums]
     )
 
 
@@ -60,19 +92,33 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def median_cuts(df: DataFrame, columns: Sequence[str], exact: bool = True, accuracy: int = 1000) -> DataFrame:
+def median_cuts(df: DataFrame, columns: Sequence[str], method: str = "sliced", accuracy: int = 1000) -> DataFrame:
     """One row with the lower median of each column, itself a value of the data.
 
-    ``exact`` counts equal values first and ranks the distinct ones.  Otherwise
-    a quantile sketch with relative error ``1/accuracy`` is merged in one pass.
+    ``sliced``      exact for any column: counts equal values, finds the value range
+                    that holds the middle rank, and ranks only the values in it.
+    ``few_values``  exact with fewer steps, for columns whose number of distinct
+                    values is small by construction: ranks all distinct values.
+    ``sketch``      a quantile sketch with relative error ``1/accuracy``, one pass.
     """
-    if not exact:
+    if method == "sketch":
         return df.agg(*[F.percentile_approx(named(c), 0.5, accuracy).alias(c) for c in columns])
     counts = value_counts(df, columns)
-    known = counts.groupBy("column").agg(F.sum("n").alias("_known"))
-    ordered = running_totals(counts, ["column"], "value", ["n"])
-    middle = ordered.join(F.broadcast(known), "column").where(  # one row per named column
-        (F.col("n_before") < F.ceil(F.col("_known") / 2))
-        & (F.col("n_before") + F.col("n") >= F.ceil(F.col("_known") / 2))
-    )
+    rank = F.ceil(F.col("n_total") / 2)
+    if method == "few_values":
+        everyone = Window.partitionBy("column")
+        smaller = everyone.orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+        ranked = counts.withColumns(
+            {"n_total": F.sum("n").over(everyone), "n_before": F.coalesce(F.sum("n").over(smaller), F.lit(0))}
+        )
+    elif method == "sliced":
+        sliced = _sliced(counts, ["column"], "value", ["n"])
+        offsets = _slice_offsets(sliced, ["column"], ["n"])
+        located = sliced.join(F.broadcast(offsets), _slice_keys(["column"], ["n"])).where(
+            (F.col("_n_offset") < rank) & (F.col("_n_offset") + F.col("_n_here") >= rank)
+        )
+        ranked = _add_running(located, ["column"], "value", ["n"])
+    else:
+        raise ValueError(f"unknown method {method}")
+    middle = ranked.where((F.col("n_before") < rank) & (F.col("n_before") + F.col("n") >= rank))
     return middle.agg(*[F.max(F.when(F.col("column") == c, F.col("value"))).alias(c) for c in columns])

@@ -29,7 +29,7 @@ def cluster_vectors(scored: DataFrame, cuts: DataFrame | None = None) -> DataFra
 
 def segment(vectors: DataFrame, k: int = 4, seed: int = 42, starts: int = 10) -> DataFrame:
     """Rows with a canonical cluster id."""
-    return K.assign_clusters(vectors, K.best_kmeans(vectors, k, seed, starts))
+    return K.assign_clusters(vectors, K.best_kmeans(vectors, [k], seed, starts)[k])
 
 
 @dataclass(frozen=True)
@@ -50,7 +50,7 @@ def classify(
     seed: int = 42,
     seeds: Sequence[int] = tuple(V.FOREST_SEEDS),
     trees: int = 200,
-    depth: int = 12,
+    depth: int = 10,
 ) -> Evaluated:
     """Predict the focus quadrant from columns that do not define it."""
     cuts = score_cuts(scored)

@@ -12,6 +12,7 @@ from scorelab.operators.scores import score_responses
 from scorelab.operators.segments import add_quadrants
 from scorelab.plans.models import Evaluated, classify, cluster_vectors, segment
 from scorelab.plans.reports import REPORT_ORDER, all_reports
+from scorelab.session import materialise
 from scorelab.sources import read_survey_csv, read_table, write_metrics, write_report, write_table
 
 CLEANED = "cleaned_data/cleaned_survey_data"
@@ -46,11 +47,11 @@ def report(spark: SparkSession, out: str, exact: bool = True, role_support: int
     return reports
 
 
-def model(spark: SparkSession, out: str, k: int = 4, starts: int = 10, trees: int = 200, depth: int = 12
+def model(spark: SparkSession, out: str, k: int = 4, starts: int = 10, trees: int = 200, depth: int = 10
           ) -> Evaluated:
     """Scored table to k scan, clusters, ensemble predictions and metrics."""
     scored = read_table(spark, f"{out}/{SCORED}")
-    vectors = cluster_vectors(scored)
+    vectors = materialise(cluster_vectors(scored), "vectors")
     write_report(kmeans_scan(vectors, V.KEY, starts=starts), f"{out}/{MODELS}/kmeans_scan", order_by=[("k", False)])
     clusters = segment(vectors, k, starts=starts).drop("features")
     write_table(clusters, f"{out}/{MODELS}/cluster_rows")

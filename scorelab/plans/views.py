@@ -118,14 +118,19 @@ def role_extremes(by_role: DataFrame, bottom: int = 5, top: int = 8, flag_scope:
     )
 
 
+def _placed(focus: DataFrame) -> DataFrame:
+    # The same filter on both sides of the key join lets Spark compute the profile once.
+    return focus.where(F.col("Country").isNotNull())
+
+
 def country_totals(focus: DataFrame, k: int = 8) -> DataFrame:
-    totals = focus.groupBy("Country").agg(F.sum(P.COUNT).alias("Developers"))
+    totals = _placed(focus).groupBy("Country").agg(F.sum(P.COUNT).alias("Developers"))
     return P.top_k(totals, "Developers", k, ["Country"])
 
 
 def country_detail(focus: DataFrame, k: int = 8) -> DataFrame:
     """Profile rows of the k largest countries, with a simplified work mode."""
-    detail = P.keep_keys(focus, country_totals(focus, k), "Country")
+    detail = P.keep_keys(_placed(focus), country_totals(focus, k), "Country")
     return detail.withColumn("WorkMode", lookup("RemoteWork", V.WORK_MODE_LABELS, otherwise="Other"))
 
 
