@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from scorelab import vocabulary as V
 from scorelab.operators.clean import clean_responses
 from scorelab.operators.scores import score_responses
-from scorelab.session import scratch_path
+from scorelab.session import scratch_path, spread_out
 from scorelab.sources import read_table, write_table
 
 # --- fixed values: answer texts used by the frame ----------------------------
@@ -50,10 +50,7 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def _pick(index: Column, texts: list[str]) -> Column:
     """The index-th text, null beyond the list."""
-    chain = F
-    for i, text in enumerate(texts):
-        chain = chain.when(index == i, F.lit(text))
-    return chain.otherwise(F.lit(None).cast("string"))
+    return F.get(F.array(*[F.lit(text) for text in texts]), index.cast("int"))
 
 
 def _tokens(digits: Column) -> Column:
@@ -77,7 +74,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     def skipped(condition: Column, value: Column) -> Column:
         return F.when(condition, F.lit(None).cast("string")).otherwise(value)
 
-    return load(spark, sf_dir, "orders").select(
+    return spread_out(load(spark, sf_dir, "orders")).select(
         order.cast("string").alias("ResponseId"),
         _pick(order % 3, ["I am a developer by profession", "I code sometimes"]).alias("MainBranch"),
         F.when(work_years <= 52, work_years.cast("string"))

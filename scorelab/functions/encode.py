@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -46,7 +47,7 @@ def multiselect_count(
         tokens = (F.length(source) - F.length(bare)) / F.lit(len(separator)) + F.lit(1)
     else:
         stop = F.array(*[F.lit(text) for text in exclude])
-        pieces = F.split(source, "\\Q" + separator + "\\E")
+        pieces = F.split(source, re.escape(separator))
         tokens = F.size(F.array_except(pieces, stop))
     missing = source.isNull()
     if empty_values:

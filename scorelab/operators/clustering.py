@@ -134,7 +134,7 @@ def silhouette_sampled(df: DataFrame, cluster: str, features: str, key: str, cap
         sample.groupBy(F.pmod(F.xxhash64("_key"), F.lit(BLOCKS)).cast("int").alias("_block"))
         .agg(F.collect_list(F.struct("_key", "_own", "_point")).alias("_rows"))
         .select("_block", F.col("_rows._key").alias("keys"), F.col("_rows._own").alias("owns"),
-                F.col("_rows._point").alias("points"))
+                F.flatten(F.col("_rows._point")).alias("points"))
     )
     left = packed.withColumn("_with", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))))
     right = packed.select(F.col("_block").alias("_with"), F.col("owns").alias("other_owns"),
@@ -146,8 +146,9 @@ def silhouette_sampled(df: DataFrame, cluster: str, features: str, key: str, cap
 
         for batch in batches:
             for row in batch.itertuples(index=False):
-                a, b = np.array(list(row.points), dtype=float), np.array(list(row.other_points), dtype=float)
                 others = np.asarray(row.other_owns)
+                a = np.asarray(row.points).reshape(len(row.keys), -1)
+                b = np.asarray(row.other_points).reshape(len(others), -1)
                 parts = []
                 # One row against a block at a time keeps memory at one block.
                 distance = np.stack([np.sqrt(((b - p) ** 2).sum(axis=1)) for p in a])

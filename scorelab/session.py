@@ -15,6 +15,8 @@ def local_session(cpus: int | str = "*", app: str = "scorelab") -> SparkSession:
         .appName(app)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
+        # HotSpot does not compile larger methods; wide projections then run split up.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
@@ -54,3 +56,12 @@ def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def spread_out(df: DataFrame) -> DataFrame:
+    """Use all cores for a table that lies in fewer splits than there are cores.
+
+    Large tables have many splits and pass through untouched.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
