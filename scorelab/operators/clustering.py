@@ -65,7 +65,12 @@ def best_kmeans(vectors: DataFrame, ks: Sequence[int], seed: int = 42, starts: i
         estimator = KMeans(k=k, seed=seed + start, maxIter=max_iter, featuresCol="features")
         return lambda: (k, estimator.fit(rows))
 
-    rows = vectors.select("features").persist()
+    rows = vectors.select("features")
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() <= cores:
+        # A small table: the concurrent fits share the cores, each gets its part.
+        rows = rows.coalesce(max(1, cores // workers))
+    rows = rows.persist()
     fitted = in_parallel(vectors.sparkSession, [fit(k, start) for k in ks for start in range(starts)], workers)
     rows.unpersist()
     return {k: min((m for kk, m in fitted if kk == k), key=lambda m: m.summary.trainingCost) for k in ks}

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorelab.functions.encode import named
 
-SIDE = 32
-SLICES = SIDE * SIDE  # value ranges a running total is cut into
+SLICES = 1000  # value ranges a running total is cut into; located digit by digit
 
 
 def _sliced(df: DataFrame, groups: Sequence[str], order: str, sums: Sequence[str]) -> DataFrame:
@@ -18,24 +18,23 @@ def _sliced(df: DataFrame, groups: Sequence[str], order: str, sums: Sequence[str
 
     Totals and range limits come from one aggregate that is a single row per
     group; the callers' groups are a fixed list of column names, so the
-    broadcast is too.  A value is located among 31 coarse limits first, then
-    among the 31 fine ones that follow.
+    broadcast is too.  The slice is the number of limits a value has passed,
+    found one decimal digit at a time with nine comparisons each.
     """
     # One text literal: a thousand literal nodes would slow every planning step.
     points = F.split(F.lit(",".join(str(i / SLICES) for i in range(1, SLICES))), ",").cast("array<double>")
     limits = df.groupBy(*groups).agg(
-        F.percentile_approx(named(order), points, 10 * SLICES).alias("_fine"),
+        F.percentile_approx(named(order), points, 10 * SLICES).alias("_limits"),
         *[F.sum(named(s)).alias(f"{s}_total") for s in sums],
     )
-    coarse = F.array(*[F.element_at("_fine", i * SIDE) for i in range(1, SIDE)])
-    limits = limits.withColumn("_coarse", coarse)
-
-    def passed(edges):
-        return F.size(F.filter(edges, lambda edge: edge <= named(order)))
-
-    stepped = df.join(F.broadcast(limits), list(groups)).withColumn("_step", passed("_coarse"))
-    fine = F.slice("_fine", F.col("_step") * SIDE + 1, F.lit(SIDE - 1))
-    return stepped.withColumn("_slice", F.col("_step") * SIDE + passed(fine)).drop("_fine", "_coarse", "_step")
+    sliced = df.join(F.broadcast(limits), list(groups)).withColumn("_slice", F.lit(0))
+    for step in (100, 10, 1):
+        passed = [
+            (F.get("_limits", F.col("_slice") + (digit * step - 1)) <= named(order)).cast("int")
+            for digit in range(1, 10)
+        ]
+        sliced = sliced.withColumn("_slice", F.col("_slice") + reduce(lambda x, y: x + y, passed) * step)
+    return sliced.drop("_limits")
 
 
 def _slice_keys(groups: Sequence[str], sums: Sequence[str]) -> list[str]:
@@ -45,7 +44,7 @@ def _slice_keys(groups: Sequence[str], sums: Sequence[str]) -> list[str]:
 
 
 def _slice_offsets(sliced: DataFrame, groups: Sequence[str], sums: Sequence[str]) -> DataFrame:
-    """Per slice the sums and their totals over earlier slices: at most 1,024 rows per group."""
+    """Per slice the sums and their totals over earlier slices: at most SLICES rows per group."""
     totals = sliced.groupBy(*_slice_keys(groups, sums)).agg(*[F.sum(named(s)).alias(f"_{s}_here") for s in sums])
     earlier = Window.partitionBy(*groups).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     return totals.withColumns({f"_{s}_offset": F.coalesce(F.sum(f"_{s}_here").over(earlier), F.lit(0)) for s in sums})

@@ -50,9 +50,12 @@ def test_quotas(totals: DataFrame, label: str, count: str, fraction: str) -> Dat
     """Test rows per class: ceil(fraction * n) in all, shared by largest remainder.
 
     Whole-number arithmetic on decimals, so large tables neither overflow nor round.
-    ``fraction`` is decimal text such as ``"0.2"``.
+    ``fraction`` is decimal text such as ``"0.2"``.  More than 1,024 classes is an
+    error, so everything derived from the quotas is small.
     """
     everyone = Window.partitionBy()  # one row per class
+    few = F.count(F.lit(1)).over(everyone) <= MAX_CLASSES
+    too_many = F.raise_error(F.lit(f"more than {MAX_CLASSES} classes to stratify by")).cast("long")
     exact = f"CAST({count} AS DECIMAL(19,0))"
     sized = totals.withColumn("_all", F.sum(count).over(everyone)).withColumn(
         "_test", F.expr(f"CAST(CEIL(CAST(_all AS DECIMAL(19,0)) * CAST('{fraction}' AS DECIMAL(10,9))) AS BIGINT)")
@@ -65,8 +68,9 @@ def test_quotas(totals: DataFrame, label: str, count: str, fraction: str) -> Dat
     )
     left_over = F.col("_test") - F.sum("_floor").over(everyone)
     turn = F.row_number().over(Window.orderBy(F.col("_rest").desc(), named(label)))
-    return shared.withColumn("_left", left_over).withColumn("_turn", turn).select(
-        named(label), (F.col("_floor") + F.when(F.col("_turn") <= F.col("_left"), 1).otherwise(0)).alias("_take")
+    take = F.col("_floor") + F.when(F.col("_turn") <= F.col("_left"), 1).otherwise(0)
+    return shared.withColumns({"_left": left_over, "_turn": turn, "_few": few}).select(
+        named(label), F.when(F.col("_few"), take).otherwise(too_many).alias("_take")
     )
 
 
@@ -77,17 +81,15 @@ def mark_test_rows(df: DataFrame, label: str, key: str, fraction: str = "0.2", s
     prefixes = _prefix_totals(hashed, [label])
     totals = prefixes.groupBy(named(label)).agg(F.sum("_n").alias("_n"))
     quotas = test_quotas(totals, label, "_n", fraction)
-    edge = prefixes.join(quotas, label).where(
+    edge = prefixes.join(F.broadcast(quotas), label).where(
         (F.col("_upto") >= F.col("_take")) & (F.col("_upto") - F.col("_n") < F.col("_take"))
     ).select(label, "_bucket", (F.col("_take") - F.col("_upto") + F.col("_n")).alias("_need"))
-    inside = hashed.join(edge, [label, "_bucket"])
+    # Quotas and edges are one row per class, and the quotas check the classes.
+    inside = hashed.join(F.broadcast(edge), [label, "_bucket"])
     place = F.row_number().over(Window.partitionBy(label, "_bucket").orderBy("_hash"))
     cuts = inside.withColumn("_place", place).where(F.col("_place") == F.col("_need"))
-    # One entry per class; the size is checked before it becomes a value.
     lookup = cuts.agg(
-        F.when(
-            F.count(F.lit(1)) > MAX_CLASSES, F.raise_error(F.lit(f"more than {MAX_CLASSES} classes to stratify by"))
-        ).otherwise(F.map_from_entries(F.collect_list(F.struct(named(label), F.col("_hash"))))).alias("_cuts")
+        F.map_from_entries(F.collect_list(F.struct(named(label), F.col("_hash")))).alias("_cuts")
     ).scalar()
     # A class without a quota has no entry, and none of its rows is a test row.
     return df.withColumn(

@@ -239,3 +239,10 @@ def test_forest_votes_on_planted_signal(spark):
 def test_label_lineage_is_refused():
     with pytest.raises(ValueError, match="TrustScore"):
         C.check_leakage(["UsageFreq", "TrustScore"], V.LABEL_LINEAGE)
+
+
+def test_split_refuses_too_many_classes(spark):
+    df = spark.range(2000).select("id", F.col("id").cast("string").alias("y"))
+    with pytest.raises(Exception, match="classes to stratify by"):
+        S.mark_test_rows(df, "y", "id").count()
+        S.mark_test_rows(df, "y", "id").where("is_test").count()
