@@ -380,11 +380,12 @@ def quadrant_summary(spark, sf_dir):
 
 @query
 def segment_profile(spark, sf_dir):
-    return _focus(spark, sf_dir)
+    return reports.focus_profile(G.add_quadrants(R.scored_table(spark, sf_dir)), SLICE_SUPPORT)
 
 
 def _focus(spark, sf_dir):
-    return reports.focus_profile(G.add_quadrants(R.scored_table(spark, sf_dir)), SLICE_SUPPORT)
+    """The written profile report, which the country views start from."""
+    return R.stage(spark, sf_dir, "focus", lambda: segment_profile(spark, sf_dir))
 
 
 # --- chart datasets -----------------------------------------------------------

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from scorelab.functions.encode import named
 from scorelab.operators.sampling import bounded_sample
 from scorelab.operators.segments import one_row
+from scorelab.session import materialise
 
 BLOCKS = 16  # a bounded sample is compared block by block
 
@@ -130,11 +131,10 @@ def silhouette_sampled(df: DataFrame, cluster: str, features: str, key: str, cap
     most cap/16 rows or so each); a task gets two blocks and returns, per row and
     cluster, the sum of distances and the number of rows met.
     """
-    sample = bounded_sample(
-        df.select(named(key).cast("string").alias("_key"), named(cluster).cast("int").alias("_own"),
-                  named(features).cast("array<double>").alias("_point")),
-        "_key", cap, seed,
-    )
+    points = df.select(named(key).cast("string").alias("_key"), named(cluster).cast("int").alias("_own"),
+                       named(features).cast("array<double>").alias("_point"))
+    # Both sides of the comparison read the written sample; the table is not drawn from twice.
+    sample = materialise(bounded_sample(points, "_key", cap, seed), "sample")
     packed = (
         sample.groupBy(F.pmod(F.xxhash64("_key"), F.lit(BLOCKS)).cast("int").alias("_block"))
         .agg(F.collect_list(F.struct("_key", "_own", "_point")).alias("_rows"))

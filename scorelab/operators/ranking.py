@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,14 +26,16 @@ def _sliced(df: DataFrame, groups: Sequence[str], order: str, sums: Sequence[str
         F.percentile_approx(named(order), points, 10 * SLICES).alias("_limits"),
         *[F.sum(named(s)).alias(f"{s}_total") for s in sums],
     )
-    sliced = df.join(F.broadcast(limits), list(groups)).withColumn("_slice", F.lit(0))
-    for step in (100, 10, 1):
-        passed = [
-            (F.get("_limits", F.col("_slice") + (digit * step - 1)) <= named(order)).cast("int")
-            for digit in range(1, 10)
-        ]
-        sliced = sliced.withColumn("_slice", F.col("_slice") + reduce(lambda x, y: x + y, passed) * step)
-    return sliced.drop("_limits")
+    steps = (100, 10, 1)
+    for step in steps:
+        every = F.sequence(F.lit(1), F.lit(SLICES // step - 1))
+        limits = limits.withColumn(f"_every{step}", F.transform(every, lambda i: F.element_at("_limits", i * step)))
+    located = df.join(F.broadcast(limits.drop("_limits")), list(groups)).withColumn("_slice", F.lit(0))
+    for step in steps:
+        next_nine = F.slice(f"_every{step}", F.col("_slice") * 10 + 1, F.lit(9))
+        passed = F.size(F.filter(next_nine, lambda limit: limit <= named(order)))
+        located = located.withColumn("_slice", F.col("_slice") * 10 + passed)
+    return located.drop(*[f"_every{step}" for step in steps])
 
 
 def _slice_keys(groups: Sequence[str], sums: Sequence[str]) -> list[str]:

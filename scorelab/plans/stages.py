@@ -58,7 +58,7 @@ def model(spark: SparkSession, out: str, k: int = 4, starts: int = 10, trees: in
     summary = cluster_summary(read_table(spark, f"{out}/{MODELS}/cluster_rows"), V.CLUSTER_FEATURES)
     write_report(summary, f"{out}/{MODELS}/cluster_summary", order_by=[("Cluster", False)])
     result = classify(scored, trees=trees, depth=depth)
-    write_report(result.importance, f"{out}/{MODELS}/feature_importance", order_by=[("Importance", True)])
+    write_report(result.importance, f"{out}/{MODELS}/paradox_feature_importance", order_by=[("Importance", True)])
     write_table(result.predictions, f"{out}/{MODELS}/rf_predictions")
     write_metrics(result.record, f"{out}/{MODELS}/rf_metrics")
     return result
