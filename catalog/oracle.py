@@ -151,11 +151,14 @@ AVERAGES = ", ".join(
 RAW_AVERAGES = ('avg("UsageScore") AS "AvgUsageScore", avg("TrustScore") AS "AvgTrustScore", '
                 'avg("FrustrationScore") AS "AvgFrustrationScore"')
 
-BAND = """CASE WHEN "UsageScore" < 25 THEN 'Low (0-25)' WHEN "UsageScore" < 50 THEN 'Medium-Low (25-50)'
-  WHEN "UsageScore" < 75 THEN 'Medium-High (50-75)' ELSE 'High (75-100)' END"""
-STAGE = """CASE WHEN "WorkExpNum" IS NULL THEN 'Unknown' WHEN "WorkExpNum" < 2 THEN 'Beginner: 0-1 years'
-  WHEN "WorkExpNum" BETWEEN 2 AND 5 THEN 'Junior: 2-5 years' WHEN "WorkExpNum" BETWEEN 6 AND 10 THEN 'Mid-level: 6-10 years'
-  WHEN "WorkExpNum" BETWEEN 11 AND 20 THEN 'Senior: 11-20 years' ELSE 'Expert: 20+ years' END"""
+BAND = "CASE " + " ".join(
+    f'WHEN "UsageScore" < {edge} THEN {text(label)}' for edge, label in zip(V.USAGE_BAND_EDGES, V.USAGE_BANDS)
+) + f" ELSE {text(V.USAGE_BANDS[-1])} END"
+YEARS = "VALUES " + ", ".join(f"({low}, {high}, {text(label)})" for low, high, label in V.EXPERIENCE_RANGES)
+STAGE = f"""coalesce(
+  (SELECT label FROM ({YEARS}) ranges(low, high, label) WHERE "WorkExpNum" BETWEEN low AND high),
+  CASE WHEN "WorkExpNum" < {V.EXPERIENCE_BELOW[0]} THEN {text(V.EXPERIENCE_BELOW[1])}
+       WHEN "WorkExpNum" >= 0 THEN {text(V.EXPERIENCE_ELSE)} ELSE 'Unknown' END)"""
 STAGES = SCORED + f""",
 stages AS (SELECT {STAGE} AS "ExperienceGroup", count(*) AS "DeveloperCount", {RAW_AVERAGES} FROM scored GROUP BY 1)
 """

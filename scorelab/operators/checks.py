@@ -74,11 +74,12 @@ def spread_below(df: DataFrame, key: str, value: str, excluding: str, limit: flo
     return _row(rng, name, F.col("range") < limit, F.format_string("range=%.2f", F.col("range")))
 
 
-def outputs_exist(spark: SparkSession, paths: Sequence[str], name: str = "output artefacts") -> DataFrame:
-    """Each expected Parquet result is there and has a row."""
+def outputs_exist(spark: SparkSession, paths: Sequence[str], name: str = "output artefacts",
+                  kind: str = "parquet") -> DataFrame:
+    """Each expected result (``parquet``, ``csv`` or ``json``) is there and has a row."""
     gone = []
     for path in paths:
-        table = read_optional_table(spark, path)
+        table = read_optional_table(spark, path, kind)
         if table is None or table.isEmpty():
             gone.append(path)
     return _plain(spark, name, not gone, "missing: " + (", ".join(gone) or "none"))

@@ -19,10 +19,10 @@ def is_missing_path(error: AnalysisException) -> bool:
     return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
-def read_optional_table(spark: SparkSession, path: str) -> DataFrame | None:
+def read_optional_table(spark: SparkSession, path: str, kind: str = "parquet") -> DataFrame | None:
     """The table, or None when there is nothing at ``path``."""
     try:
-        return spark.read.parquet(path)
+        return spark.read.format(kind).load(path)
     except AnalysisException as error:
         if is_missing_path(error):
             return None

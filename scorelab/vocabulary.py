@@ -110,6 +110,14 @@ USAGE_BANDS = [
     "Medium-High (50-75)",
     "High (75-100)",
 ]
+# Closed ranges of years; below 2 is the first group, anything else the expert group.
+EXPERIENCE_BELOW = (2, "Beginner: 0-1 years")
+EXPERIENCE_RANGES = [
+    (2, 5, "Junior: 2-5 years"),
+    (6, 10, "Mid-level: 6-10 years"),
+    (11, 20, "Senior: 11-20 years"),
+]
+EXPERIENCE_ELSE = "Expert: 20+ years"
 EXPERIENCE_GROUPS = [
     "Beginner: 0-1 years",
     "Junior: 2-5 years",
