@@ -213,6 +213,7 @@ given AS (SELECT l, base + CASE WHEN row_number() OVER (ORDER BY rest DESC, l) <
           AS take FROM shares),
 split AS (SELECT p.*, p.place <= g.take AS is_test FROM placed p JOIN given g ON p."ParadoxLabel" = g.l)
 """
+COMPLETE = '"WorkExpNum" IS NOT NULL'  # the only model column that can be missing beside trust
 DENSITY = SCORED + """,
 cells AS (SELECT CAST(least(floor("UsageScore" / 10), 9) * 10 AS BIGINT) AS u_bin,
                  CAST(least(floor("TrustScore" / 10), 9) * 10 AS BIGINT) AS t_bin, count(*) AS "Developers"
@@ -410,6 +411,14 @@ ORACLE: dict[str, str] = {
         + " FROM rows_"),
     "silhouette": silhouette("list_distance(a.x, b.x) ** 2"),
     "silhouette_sampled": silhouette("list_distance(a.x, b.x)"),
+    "cluster_means": "SELECT CAST(label AS BIGINT) AS \"Cluster\", " + ", ".join(
+        f"round_even(avg(CAST(embedding[{i + 1}] AS DOUBLE)), 3) AS axis{i}" for i in range(4))
+        + ', count(*) AS "DeveloperCount" FROM embeddings GROUP BY 1',
+    "kmeans_consistency": with_(QUADS, f"SELECT count(*) AS assigned, 4::BIGINT AS clusters, true AS numbered_by_usage FROM quads WHERE {COMPLETE}"),
+    "pca_consistency": with_(QUADS, f"SELECT count(*) AS projected, true AS centred, true AS uncorrelated, true AS ordered FROM quads WHERE {COMPLETE}"),
+    "rf_consistency": with_(SPLIT.replace("FROM quads", f"FROM (SELECT * FROM quads WHERE {COMPLETE})"),
+        """SELECT count(*) AS held_out, CAST(sum("ParadoxLabel") AS BIGINT) AS positives, true AS bounded, true AS votes_follow,
+        true AS better_than_chance FROM split WHERE is_test"""),
     # checks
     "quality_report": with_(ROLES + "," + STAGES.split(SCORED)[1].lstrip(" ,\n") + """,
         ends AS (SELECT arg_max("DevType", "AvgTrustScore") AS hk, max("AvgTrustScore") AS hv, arg_min("DevType", "AvgTrustScore") AS lk, min("AvgTrustScore") AS lv FROM roles),

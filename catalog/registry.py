@@ -720,3 +720,54 @@ def feature_importance(spark, sf_dir):
 @query
 def model_evaluation(spark, sf_dir):
     return _evaluated(spark, sf_dir).strip
+
+
+# --- model results against facts that hold for any fit ------------------------
+
+@query
+def cluster_means(spark, sf_dir):
+    """Size and half-even rounded means of the labelled embeddings' first values."""
+    axes = [f"axis{i}" for i in range(4)]
+    points = _embedding_points(spark, sf_dir).select(
+        long("label").alias("Cluster"), *[F.col("embedding")[i].alias(a) for i, a in enumerate(axes)]
+    )
+    return K.cluster_summary(points, axes)
+
+
+@query
+def kmeans_consistency(spark, sf_dir):
+    """Every complete row has one of four clusters, numbered by falling mean usage."""
+    rows = _segments(spark, sf_dir)
+    sizes = rows.groupBy("Cluster").agg(F.count(F.lit(1)).alias("n"), F.avg("UsageScore").alias("usage"))
+    means = F.array_sort(F.collect_list(F.struct("Cluster", "usage")))["usage"]  # one entry per cluster
+    return sizes.agg(
+        F.sum("n").alias("assigned"), F.count(F.lit(1)).alias("clusters"),
+        (means == F.reverse(F.array_sort(means))).alias("numbered_by_usage"),
+    )
+
+
+@query
+def pca_consistency(spark, sf_dir):
+    """Components of standardised features: centred, uncorrelated, falling variance."""
+    points = K.project_2d(_vectors(spark, sf_dir)).agg(
+        F.count(F.lit(1)).alias("projected"), F.avg("PC1").alias("m1"), F.avg("PC2").alias("m2"),
+        F.corr("PC1", "PC2").alias("r"), F.var_pop("PC1").alias("v1"), F.var_pop("PC2").alias("v2"),
+    )
+    return points.select(
+        "projected", (F.greatest(F.abs("m1"), F.abs("m2")) < 1e-9).alias("centred"),
+        (F.abs("r") < 1e-6).alias("uncorrelated"),
+        ((F.col("v1") >= F.col("v2")) & (F.col("v1") + F.col("v2") <= len(V.CLUSTER_FEATURES))).alias("ordered"),
+    )
+
+
+@query
+def rf_consistency(spark, sf_dir):
+    """Held-out rows are the exact split; votes follow probabilities and beat chance."""
+    evaluated = _evaluated(spark, sf_dir)
+    auc = evaluated.strip.select("roc_auc").scalar()
+    proba = F.col("y_proba")
+    return evaluated.predictions.agg(
+        F.count(F.lit(1)).alias("held_out"), F.sum("y_true").alias("positives"),
+        F.bool_and(proba.between(0, 1)).alias("bounded"),
+        F.bool_and((F.col("y_pred") == 1) == (proba >= 0.5)).alias("votes_follow"),
+    ).withColumn("better_than_chance", auc > 0.5)
