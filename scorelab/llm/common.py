@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,16 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 8 << 20
 
 
+def reachable(spark: SparkSession) -> None:
+    """Let Python workers look for this package where the client found it, besides their own path."""
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(":")
+    if root not in paths:
+        environment["PYTHONPATH"] = ":".join(filter(None, [*paths, root]))
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    reachable(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

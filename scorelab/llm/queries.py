@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorelab.llm import decontaminate, langid, line_dedup, pii, secret_scan, sharding
+from scorelab.llm import decontaminate, langid, line_dedup, pii, secret_scan, sharding, toxicity
 from scorelab.llm.common import fold, load
 
 
@@ -29,6 +29,12 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digests(documents(spark, sf_dir, "doc_id", "text", "source"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    scored = toxicity.score(docs, toxicity.fit(docs, load(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_digests(documents(spark, sf_dir, "doc_id", "text"))
 
@@ -44,6 +50,7 @@ QUERIES = {
     "op3_sharding": op3_sharding,
     "op4_decontamination": op4_decontamination,
     "op6_line_dedup": op6_line_dedup,
+    "op7_toxicity": op7_toxicity,
     "op9_personal_data": op9_personal_data,
     "op10_language": op10_language,
 }
