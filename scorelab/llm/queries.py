@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorelab.llm import decontaminate, langid, line_dedup, pii, secret_scan, sharding, toxicity
+from scorelab.llm import decontaminate, langid, line_dedup, pieces, pii, secret_scan, sharding, toxicity
 from scorelab.llm.common import fold, load
 
 
@@ -25,6 +25,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlap_digests(documents(spark, sf_dir, "doc_id", "text"), load(spark, sf_dir, "benchmark"))
 
 
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoding_digests(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digests(documents(spark, sf_dir, "doc_id", "text", "source"))
 
@@ -49,6 +53,7 @@ QUERIES = {
     "op1_secrets": op1_secrets,
     "op3_sharding": op3_sharding,
     "op4_decontamination": op4_decontamination,
+    "op5_pieces": op5_pieces,
     "op6_line_dedup": op6_line_dedup,
     "op7_toxicity": op7_toxicity,
     "op9_personal_data": op9_personal_data,
