@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorelab.llm import decontaminate, langid, line_dedup, pieces, pii, secret_scan, sharding, toxicity
+from scorelab.llm import decontaminate, langid, line_dedup, pieces, pii, secret_scan, sharding, simhash, toxicity
 from scorelab.llm.common import fold, load
 
 
@@ -17,6 +17,11 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_digests(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir, "doc_id", "text"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir, "doc_id", "text"))
 
@@ -51,6 +56,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secrets": op1_secrets,
+    "op2_simhash": op2_simhash,
     "op3_sharding": op3_sharding,
     "op4_decontamination": op4_decontamination,
     "op5_pieces": op5_pieces,
