@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorelab.llm import decontaminate, langid, line_dedup, pieces, pii, secret_scan, sharding, simhash, toxicity
+from scorelab.llm import decontaminate, graph_ann, langid, line_dedup, pieces, pii, secret_scan, sharding, simhash, toxicity
 from scorelab.llm.common import fold, load
 
 
@@ -44,6 +44,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph_ann.nearest(load(spark, sf_dir, "embeddings"))
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_digests(documents(spark, sf_dir, "doc_id", "text"))
 
@@ -62,6 +66,7 @@ QUERIES = {
     "op5_pieces": op5_pieces,
     "op6_line_dedup": op6_line_dedup,
     "op7_toxicity": op7_toxicity,
+    "op8_neighbours": op8_neighbours,
     "op9_personal_data": op9_personal_data,
     "op10_language": op10_language,
 }
