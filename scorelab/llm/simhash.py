@@ -18,11 +18,12 @@ from functools import cache, partial
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorelab.llm.common import map_texts
+from scorelab.llm.common import map_texts, small_slices
 from scorelab.llm.components import connected
 from scorelab.session import materialise
 
@@ -31,6 +32,8 @@ SEED = 42
 WORDS = 4
 #: Fingerprints whose variants one task spells out at a time.
 MEMBERS = 2048
+#: Fingerprints per text that propose pairs for a similarity of shingles.
+TABLES = 3
 #: Shingles whose bits are counted at a time.
 STEP = 1 << 15
 
@@ -63,15 +66,6 @@ def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return map_texts(docs, rows_of, f"doc_id {dict(docs.dtypes)['doc_id']}, fp long")
 
 
-def with_fingerprint(docs: DataFrame, text: str, words: int = WORDS) -> DataFrame:
-    """``docs`` with the fingerprint of column ``text`` as fp_."""
-    @F.pandas_udf("long")
-    def marked(texts: pd.Series) -> pd.Series:
-        return pd.Series(np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64))
-
-    return docs.withColumn("fp_", marked(text))
-
-
 def masks(bits: int, radius: int) -> np.ndarray:
     """All words with at most ``radius`` (up to 2) of the low ``bits`` bits."""
     single = np.uint64(1) << np.arange(bits, dtype=np.uint64)
@@ -180,22 +174,96 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, distance: int = DISTANC
     return marked.join(named, "fp").select("doc_id", "fp", "root", "component_id")
 
 
-def keep_one(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
-    """``docs``, all columns, with one row of each near-duplicate component: the smallest doc_id.
+def word_set_fingerprints(text: str | None, tables: int) -> list[int]:
+    """One fingerprint per table over the distinct words, each with a hash seed of its own."""
+    words = list(set((text or "").encode("utf-8", "surrogatepass").lower().split()))
+    digest, found = xxhash.xxh64_intdigest, []
+    for table in range(tables):
+        counts = np.zeros(BITS, np.int64)
+        for at in range(0, len(words), STEP):
+            hashes = np.array([digest(w, SEED + table) for w in words[at : at + STEP]], "<u8")
+            counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        found.append(int(np.packbits(counts * 2 > len(words), bitorder="little").view("<i8")[0]))
+    return found
+
+
+def shingles(text: str | None, words: int) -> set:
+    """Hashes of the runs of so many words; the whole text if it has fewer."""
+    data = (text or "").lower().split()
+    return {hash(tuple(data[i : i + words])) for i in range(max(1, len(data) - words + 1))} if data else set()
+
+
+def similar(pairs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """(u, v) of the rows (u, v, a, b) whose texts a and b share enough of their shingles."""
+    def run(batches):
+        held, own = None, set()
+        for batch in small_slices(batches, "b"):
+            keep = []
+            for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                if held is None or a != held:
+                    held, own = a, shingles(a, words)
+                other = shingles(b, words)
+                keep.append(len(own & other) >= similarity * len(own | other))
+            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
+
+
+def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, tables: int = TABLES, distance: int = DISTANCE) -> DataFrame:
+    """(doc_id, node, root, component_id) as ``near_duplicates`` gives, for similarity of word shingles.
+
+    Texts with ``similarity`` of their shingles in common differ in few words, so fingerprints
+    of their word sets are few bits apart; several tables of ball hashing propose pairs, and
+    each pair's whole texts are compared.  In a crowd of variants every member is compared with
+    the smallest, never all with all.  Copies are one node, the hash of the text.
+    """
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+
+    def marks(batches):
+        for batch in small_slices(batches):
+            found = [word_set_fingerprints(t, tables) for t in batch.column(2).to_pylist()]
+            columns = [batch.column(0), batch.column(1), *(pa.array([f[t] for f in found], pa.int64()) for t in range(tables))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "node", *(f"fp{t}" for t in range(tables))])
+
+    names = ", ".join(f"fp{t} long" for t in range(tables))
+    noded = docs.select("doc_id", F.xxhash64(text).alias("node"), text.alias("text"))
+    marked = materialise(noded.mapInArrow(marks, f"doc_id {dict(docs.dtypes)['doc_id']}, node long, {names}"), "marks")
+    nodes = materialise(marked.groupBy("node").agg(F.min("doc_id").alias("first"), *(F.first(f"fp{t}").alias(f"fp{t}") for t in range(tables))), "nodes")
+    edges = None
+    for t in range(tables):
+        own = nodes.select("node", F.col(f"fp{t}").alias("fp"))
+        heads = materialise(own.groupBy("fp").agg(F.min("node").alias("head")), "heads")
+        linked = links(heads.select("fp"), distance)
+        across = linked.join(heads.select(F.col("fp").alias("u"), F.col("head").alias("a")), "u").join(heads.select(F.col("fp").alias("v"), F.col("head").alias("b")), "v").select("a", "b")
+        found = own.join(heads, "fp").select(F.col("node").alias("a"), F.col("head").alias("b")).unionAll(across).where("a <> b")
+        edges = found if edges is None else edges.unionAll(found)
+    edges = materialise(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "candidates")
+    # Texts of candidates only, each once.
+    wanted = edges.select(F.col("u").alias("node")).unionAll(edges.select(F.col("v").alias("node"))).distinct()
+    texts = materialise(noded.select("node", "text").join(wanted, "node", "left_semi").dropDuplicates(["node"]), "texts")
+    pairs = edges.join(texts.select(F.col("node").alias("u"), F.col("text").alias("b")), "u").join(texts.select(F.col("node").alias("v"), F.col("text").alias("a")), "v")
+    roots = connected(similar(pairs, words, similarity))
+    rooted = nodes.join(roots.withColumnRenamed("u", "node"), "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    return marked.select("doc_id", "node").join(rooted.join(least, "root").select("node", "root", "component_id"), "node").select("doc_id", "node", "root", "component_id")
+
+
+def keep_one(docs: DataFrame, **how) -> DataFrame:
+    """``docs``, all columns, with one row of each component of ``near_copies``: the smallest doc_id.
 
     The decision is joined by doc_id.  Rows whose id is null or repeated are told apart by their
-    fingerprints, and one of those that could stay does.
+    texts' hashes, and one of those that could stay does.
     """
-    found = materialise(near_duplicates(docs, words, distance), "components")
+    found = materialise(near_copies(docs, **how), "components")
     rows = found.groupBy("doc_id").agg(F.count("*").alias("n"), F.max(F.col("doc_id") == F.col("component_id")).alias("first"))
     once = rows.where("doc_id IS NOT NULL AND n = 1")
     columns = {name: f"column_{i}_" for i, name in enumerate(docs.columns)}
     own, renamed = columns["doc_id"], docs.toDF(*columns.values())
     sure = renamed.join(once.where("first").select(F.col("doc_id").alias(own)), own, "left_semi")
-    # Repeated and null ids: few as a rule; fingerprints are computed again for these rows alone.
-    doubtful = renamed.join(once.select(F.col("doc_id").alias(own)), own, "left_anti")
-    firsts = found.select(F.col("fp").alias("fp_"), F.col("root").alias("root_"), F.col("component_id").alias("first_")).where("first_ IS NULL").unionAll(
-        found.where("doc_id = component_id").join(rows.where("n > 1").select("doc_id"), "doc_id", "left_semi").select("fp", "root", "component_id")).distinct()
-    kept = with_fingerprint(doubtful, columns["text"], words).join(firsts, "fp_").where(F.col(own).eqNullSafe(F.col("first_"))).dropDuplicates(["root_"])
+    doubtful = renamed.join(once.select(F.col("doc_id").alias(own)), own, "left_anti").withColumn("node_", F.xxhash64(F.coalesce(F.col(columns["text"]).cast("string"), F.lit(""))))
+    repeated = rows.where("doc_id IS NOT NULL AND n > 1").select("doc_id")
+    firsts = found.where("component_id IS NULL").unionAll(found.where("doc_id = component_id").join(repeated, "doc_id", "left_semi").select(*found.columns))
+    firsts = firsts.select(F.col("node").alias("node_"), F.col("root").alias("root_"), F.col("component_id").alias("first_")).distinct()
+    kept = doubtful.join(firsts, "node_").where(F.col(own).eqNullSafe(F.col("first_"))).dropDuplicates(["root_"])
     names = [F.col(temp).alias(name) for name, temp in columns.items()]
     return sure.select(*names).unionAll(kept.select(*names))
