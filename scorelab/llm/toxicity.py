@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scorelab.llm.common import fold, map_texts, small_slices
+from scorelab.session import materialise
 
 ORDER = 5
 #: An n-gram is kept when it makes up this share of either class: a million of them at most.
@@ -29,6 +30,8 @@ MIN_SHARE = 2e-6
 DISCOUNT = 0.75
 #: Bounds in nats beyond which a word's evidence counts once more, and words of no evidence added to every length.
 BOUNDS, PRIOR = (2.0, 4.0), 10
+#: Labels that are sent to all executors rather than shuffled with the documents.
+BROADCAST_LABELS = 2_000_000
 #: Labelled rows the logistic curve is fitted on.
 CURVE_ROWS = 20_000
 PENDING = 500_000
@@ -38,13 +41,23 @@ WORD = re.compile(r"[^\W\d_]+")
 PAD = "#" * (ORDER - 1)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, text, toxic) of labelled rows outside the held-out fold; a null label is no label.
+def training_labels(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic) outside the held-out fold; a null label is no label.
 
     Repeated labels of one id count once; the larger one holds.
     """
-    known = labels.where("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    return docs.select("doc_id", "text").where(fold("doc_id", 3) != 1).join(known, "doc_id")
+    return labels.where("toxic IS NOT NULL").where(fold("doc_id", 3) != 1).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+
+
+def labelled(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """(doc_id, text, toxic) of the documents with a label.
+
+    Up to ``BROADCAST_LABELS`` labels go to every executor, some tens of MB; beyond that both
+    sides are shuffled.  The rows are the same.
+    """
+    known = materialise(known, "labels")
+    few = known.count() <= BROADCAST_LABELS
+    return docs.select("doc_id", "text").join(F.broadcast(known) if few else known, "doc_id")
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
@@ -215,11 +228,12 @@ def fit(docs: DataFrame, labels: DataFrame, curve_rows: int = CURVE_ROWS) -> Mod
 
     Without training rows of both classes every text scores the share of toxic ones, 0 if none.
     """
-    rows = training_rows(docs, labels)
-    evidence = fit_counts(rows)
+    known = training_labels(labels)
+    evidence = fit_counts(labelled(docs, known))
     held = docs.sparkSession.sparkContext.broadcast(evidence)
-    chosen = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(curve_rows)
-    marked = chosen.select(F.struct("doc_id", "toxic").alias("doc_id"), "text")
+    # Chosen among the labels alone: a few bytes a row, never texts, go to the task that cuts.
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(curve_rows)
+    marked = labelled(docs, chosen).select(F.struct("doc_id", "toxic").alias("doc_id"), "text")
     sample = features(marked, held).select(F.col("doc_id.toxic").alias("toxic"), *FEATURES).toArrow()
     y = np.array(sample.column("toxic").to_pylist(), float) > 0
     if not 0 < y.sum() < len(y):
