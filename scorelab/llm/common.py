@@ -28,7 +28,8 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def fold(doc_id: str | Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as the empty text."""
-    return F.crc32(F.coalesce(F.col(doc_id) if isinstance(doc_id, str) else doc_id, F.lit("")).cast("string").cast("binary")) % folds
+    column = F.col(doc_id) if isinstance(doc_id, str) else doc_id
+    return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % folds
 
 
 def small_slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
