@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from scorelab import vocabulary as V
 from scorelab.operators.clean import clean_responses
 from scorelab.operators.scores import score_responses
-from scorelab.session import scratch_path, spread_out
+from scorelab.session import scratch_path
 from scorelab.sources import read_table, write_table
 
 # --- fixed values: answer texts used by the frame ----------------------------
@@ -74,7 +74,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     def skipped(condition: Column, value: Column) -> Column:
         return F.when(condition, F.lit(None).cast("string")).otherwise(value)
 
-    return spread_out(load(spark, sf_dir, "orders")).select(
+    return load(spark, sf_dir, "orders").select(
         order.cast("string").alias("ResponseId"),
         _pick(order % 3, ["I am a developer by profession", "I code sometimes"]).alias("MainBranch"),
         F.when(work_years <= 52, work_years.cast("string"))
@@ -151,12 +151,16 @@ def stage(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataF
     Later queries scan only the columns they need from it, with their filters
     pushed down, as jobs that follow each other through tables do.
     """
+    return read_table(spark, stage_path(spark, sf_dir, name, build))
+
+
+def stage_path(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> str:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STAGES:
         path = scratch_path(spark, name)
         write_table(build(), path)
         _STAGES[key] = path
-    return read_table(spark, _STAGES[key])
+    return _STAGES[key]
 
 
 def scored_table(spark: SparkSession, sf_dir: str) -> DataFrame:

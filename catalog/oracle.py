@@ -1,6 +1,7 @@
 """SQL twins of the registered queries, written independently of the Spark code.
 
-They start from the same supplied tables; only answer texts are shared.
+They start from the same supplied tables; answer texts and display labels are shared, points,
+edges and ranges are stated anew.
 """
 
 from __future__ import annotations
@@ -32,6 +33,11 @@ def points(column: str, answers: dict, otherwise: str) -> str:
     return f"CASE {column} {cases} ELSE {otherwise} END"
 
 
+def rated(answers, values: list) -> dict:
+    """Answer texts in declared order with the points stated here."""
+    return dict(zip(answers, values, strict=True))
+
+
 def count_tokens(column: str) -> str:
     return f"CASE WHEN {column} IS NULL THEN 0 ELSE len(string_split({column}, ';')) END"
 
@@ -101,17 +107,17 @@ PROBLEMS = f"""(SELECT count(DISTINCT t) FROM unnest(string_split("AIFrustration
 SCORED = CLEAN + f""",
 components AS (
   SELECT *,
-    {points('"AISelect"', V.USAGE_POINTS, "0")} AS "UsageFreq",
-    {points('"AIAgents"', V.AGENT_POINTS, "0")} AS "AgentDepth",
+    {points('"AISelect"', rated(V.USAGE_POINTS, [5, 4, 3, 2, 1]), "0")} AS "UsageFreq",
+    {points('"AIAgents"', rated(V.AGENT_POINTS, [5, 4, 3, 2, 1, 0]), "0")} AS "AgentDepth",
     {count_tokens('"AIModelsHaveWorkedWith"')} AS "AIModelCount",
     {count_tokens('"AIToolCurrently mostly AI"')} AS "TasksMostlyAI",
     {count_tokens('"AIToolCurrently partially AI"')} AS "TasksPartiallyAI",
     {count_tokens('"DevEnvsHaveWorkedWith"')} AS "DevEnvToolCount",
-    {points('"AIAcc"', V.ACCURACY_POINTS, "NULL")} AS "TrustAcc",
-    {points('"AIComplex"', V.COMPLEX_POINTS, "NULL")} AS "TrustComplex",
-    {points('"AISent"', V.SENTIMENT_POINTS, "NULL")} AS "Sentiment",
+    {points('"AIAcc"', rated(V.ACCURACY_POINTS, [5, 4, 3, 2, 1]), "NULL")} AS "TrustAcc",
+    {points('"AIComplex"', rated(V.COMPLEX_POINTS, [5, 4, 3, 2, 1]), "NULL")} AS "TrustComplex",
+    {points('"AISent"', rated(V.SENTIMENT_POINTS, [5, 4, 3, 2, 1]), "NULL")} AS "Sentiment",
     CASE WHEN "AIFrustration" = 'None reported' THEN 0 ELSE {PROBLEMS} END AS "ProblemCount",
-    CAST({points('"AIThreat"', V.THREAT_POINTS, "0.0")} AS DOUBLE) AS "ThreatLevel"
+    CAST({points('"AIThreat"', rated(V.THREAT_POINTS, [1.0, 0.5]), "0.0")} AS DOUBLE) AS "ThreatLevel"
   FROM cleaned
 ),
 mixed AS (
@@ -151,14 +157,11 @@ AVERAGES = ", ".join(
 RAW_AVERAGES = ('avg("UsageScore") AS "AvgUsageScore", avg("TrustScore") AS "AvgTrustScore", '
                 'avg("FrustrationScore") AS "AvgFrustrationScore"')
 
-BAND = "CASE " + " ".join(
-    f'WHEN "UsageScore" < {edge} THEN {text(label)}' for edge, label in zip(V.USAGE_BAND_EDGES, V.USAGE_BANDS)
-) + f" ELSE {text(V.USAGE_BANDS[-1])} END"
-YEARS = "VALUES " + ", ".join(f"({low}, {high}, {text(label)})" for low, high, label in V.EXPERIENCE_RANGES)
-STAGE = f"""coalesce(
-  (SELECT label FROM ({YEARS}) ranges(low, high, label) WHERE "WorkExpNum" BETWEEN low AND high),
-  CASE WHEN "WorkExpNum" < {V.EXPERIENCE_BELOW[0]} THEN {text(V.EXPERIENCE_BELOW[1])}
-       WHEN "WorkExpNum" >= 0 THEN {text(V.EXPERIENCE_ELSE)} ELSE 'Unknown' END)"""
+BAND = """CASE WHEN "UsageScore" < 25 THEN 'Low (0-25)' WHEN "UsageScore" < 50 THEN 'Medium-Low (25-50)'
+    WHEN "UsageScore" < 75 THEN 'Medium-High (50-75)' ELSE 'High (75-100)' END"""
+STAGE = """CASE WHEN "WorkExpNum" IS NULL THEN 'Unknown' WHEN "WorkExpNum" < 2 THEN 'Beginner: 0-1 years'
+    WHEN "WorkExpNum" BETWEEN 2 AND 5 THEN 'Junior: 2-5 years' WHEN "WorkExpNum" BETWEEN 6 AND 10 THEN 'Mid-level: 6-10 years'
+    WHEN "WorkExpNum" BETWEEN 11 AND 20 THEN 'Senior: 11-20 years' ELSE 'Expert: 20+ years' END"""
 STAGES = SCORED + f""",
 stages AS (SELECT {STAGE} AS "ExperienceGroup", count(*) AS "DeveloperCount", {RAW_AVERAGES} FROM scored GROUP BY 1)
 """
@@ -234,9 +237,9 @@ def roc(name: str, source: str) -> str:
           FROM (SELECT y, v, row_number() OVER (ORDER BY v)::DOUBLE AS place FROM ({source}))) GROUP BY p, q"""
 
 
-def silhouette(distance: str) -> str:
+def silhouette(distance: str, sample: str = "") -> str:
     return f"""
-    WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+    WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings {sample}),
     d AS (SELECT a.vec_id, a.label AS own, b.label AS other, sum({distance}) AS s, count(*) AS n
           FROM e a, e b GROUP BY 1, 2, 3),
     r AS (SELECT vec_id, max(CASE WHEN own = other AND n > 1 THEN s / (n - 1) END) AS a,
@@ -254,7 +257,7 @@ DESCRIBED = ["UsageFreq", "AgentDepth", "AIModelCount", "WorkflowIntegration", "
 
 ORACLE: dict[str, str] = {
     # sources
-    "csv_roundtrip": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, nullif(text, 'NA') AS text, lang, source FROM documents",
+    "csv_roundtrip": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, nullif(text, 'NA') AS text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars FROM documents",
     "report_roundtrip": with_(SCORED, f'SELECT {BAND} AS "UsageBand", count(*) AS "DeveloperCount", {AVERAGES} FROM scored GROUP BY 1'),
     "metrics_roundtrip": with_(BINARY, "SELECT * FROM record"),
     "table_roundtrip": with_(QUADS, 'SELECT "TrustUsageGroup", count(*) AS n, count(DISTINCT "ResponseId") AS respondents FROM quads GROUP BY 1'),
@@ -267,8 +270,8 @@ ORACLE: dict[str, str] = {
         round("FrustrationScore", 6) AS "FrustrationScore" FROM scored ORDER BY "ResponseId" LIMIT 5"""),
     # cleaning
     "select_available_columns": with_(RESP, """SELECT "ResponseId", "DevType", "AIToolCurrently mostly AI", 'No such column' AS missing FROM resp"""),
-    "dedupe_by_key": """SELECT * EXCLUDE (place, l_shipdate) FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-        ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) AS place
+    "dedupe_by_key": """SELECT * EXCLUDE (place) REPLACE (strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate) FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+        ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS place
         FROM lineitem) WHERE place = 1""",
     "clean_responses": with_(CLEAN, """SELECT "ResponseId", "DevType", "Country", "AISelect", "AIFrustration", "WorkExpNum", "YearsCodeNum" FROM cleaned"""),
     "fill_defaults": with_(CLEAN, """SELECT "ResponseId", "AISelect", "AIFrustration", "RemoteWork", "WorkExp" FROM cleaned"""),
@@ -410,9 +413,9 @@ ORACLE: dict[str, str] = {
         f"""round(("{c}" - (SELECT avg("{c}") FROM rows_)) / (SELECT stddev_pop("{c}") FROM rows_), 6) AS "{c}_z\"""" for c in ("UsageScore", "TrustScore", "AIModelCount"))
         + " FROM rows_"),
     "silhouette": silhouette("list_distance(a.x, b.x) ** 2"),
-    "silhouette_sampled": silhouette("list_distance(a.x, b.x)"),
+    "silhouette_sampled": silhouette("list_distance(a.x, b.x)", "QUALIFY row_number() OVER (ORDER BY md5('42:' || vec_id)) <= 300"),
     "cluster_means": "SELECT CAST(label AS BIGINT) AS \"Cluster\", " + ", ".join(
-        f"round_even(avg(CAST(embedding[{i + 1}] AS DOUBLE)), 3) AS axis{i}" for i in range(4))
+        f"round_even(avg(CAST(embedding[{i + 1}] AS DOUBLE)), 3) AS axis{i}" for i in range(64))
         + ', count(*) AS "DeveloperCount" FROM embeddings GROUP BY 1',
     "kmeans_consistency": with_(QUADS, f"SELECT count(*) AS assigned, 4::BIGINT AS clusters, true AS numbered_by_usage FROM quads WHERE {COMPLETE}"),
     "pca_consistency": with_(QUADS, f"SELECT count(*) AS projected, true AS centred, true AS uncorrelated, true AS ordered FROM quads WHERE {COMPLETE}"),

@@ -74,7 +74,7 @@ def query(function: Query) -> Query:
 def csv_roundtrip(spark, sf_dir):
     """Documents (line breaks, quotes) out to survey CSV and back as text."""
     path = scratch_path(spark, "csv")
-    write_survey_csv(R.load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), path)
+    write_survey_csv(R.load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars"), path)
     return read_survey_csv(spark, path)
 
 
@@ -155,10 +155,11 @@ def select_available_columns(spark, sf_dir):
 
 @query
 def dedupe_by_key(spark, sf_dir):
-    """Line items keep one row per (order, line number): the smallest."""
-    lines = R.load(spark, sf_dir, "lineitem").drop("l_shipdate")
+    """Line items keep one row per (order, line number): the smallest over all columns."""
+    lines = R.load(spark, sf_dir, "lineitem")
     columns = LINES + [c for c in lines.columns if c not in LINES]
-    return N.dedupe_by_key(lines.select(*columns), LINES, deterministic=True)
+    kept = N.dedupe_by_key(lines.select(*columns), LINES, deterministic=True)
+    return kept.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query
@@ -383,9 +384,17 @@ def segment_profile(spark, sf_dir):
     return reports.focus_profile(G.add_quadrants(R.scored_table(spark, sf_dir)), SLICE_SUPPORT)
 
 
-def _focus(spark, sf_dir):
-    """The written profile report, which the country views start from."""
-    return R.stage(spark, sf_dir, "focus", lambda: segment_profile(spark, sf_dir))
+def _quadrants(spark, sf_dir):
+    """The written quadrant rows, which reports and slices start from."""
+    return R.stage(spark, sf_dir, "quadrants", lambda: G.add_quadrants(R.scored_table(spark, sf_dir)))
+
+
+def _report(spark, sf_dir, name):
+    """A written report, which chart datasets start from."""
+    def build():
+        return reports.all_reports(R.scored_table(spark, sf_dir), _quadrants(spark, sf_dir), slice_support=SLICE_SUPPORT)[name]
+
+    return R.stage(spark, sf_dir, f"report-{name}", build)
 
 
 # --- chart datasets -----------------------------------------------------------
@@ -393,12 +402,12 @@ def _focus(spark, sf_dir):
 @query
 def ordered_categories(spark, sf_dir):
     """Usage categories, relabelled, in declared order."""
-    return views.usage_labels(reports.usage_distribution(R.scored_table(spark, sf_dir)))
+    return views.usage_labels(_report(spark, sf_dir, "ai_usage_distribution"))
 
 
 @query
 def band_lines(spark, sf_dir):
-    return views.band_lines(reports.trust_by_usage(R.scored_table(spark, sf_dir)))
+    return views.band_lines(_report(spark, sf_dir, "trust_by_usage"))
 
 
 @query
@@ -410,25 +419,24 @@ def scatter_points(spark, sf_dir):
 @query
 def quadrant_sizes(spark, sf_dir):
     """Quadrants with their share of all analysed rows."""
-    scored = R.scored_table(spark, sf_dir)
-    total = G.analysed(scored).agg(F.count(F.lit(1)))
-    return views.quadrant_sizes(reports.quadrant_summary(G.add_quadrants(scored)), total)
+    total = _report(spark, sf_dir, "dataset_summary").select("RespondentsWithTrust")
+    return views.quadrant_sizes(_report(spark, sf_dir, "quadrant_summary"), total)
 
 
 @query
 def quadrants_by_frustration(spark, sf_dir):
-    return views.quadrants_by_frustration(reports.quadrant_summary(G.add_quadrants(R.scored_table(spark, sf_dir))))
+    return views.quadrants_by_frustration(_report(spark, sf_dir, "quadrant_summary"))
 
 
 @query
 def experience_lines(spark, sf_dir):
-    return views.experience_lines(reports.experience_analysis(R.scored_table(spark, sf_dir)))
+    return views.experience_lines(_report(spark, sf_dir, "experience_analysis"))
 
 
 @query
 def group_mean_spread(spark, sf_dir):
     """Spread of mean trust over all and over known career stages, in one row."""
-    by_stage = reports.experience_analysis(R.scored_table(spark, sf_dir))
+    by_stage = _report(spark, sf_dir, "experience_analysis")
     everyone = P.spread(by_stage, "AvgTrustScore", name="all_spread")
     known = P.spread(by_stage, "AvgTrustScore", "ExperienceGroup", V.UNKNOWN)
     return everyone.withColumn("known_spread", known.scalar())
@@ -442,33 +450,33 @@ def density_points(spark, sf_dir):
 @query
 def role_extremes(spark, sf_dir):
     """Lowest 3 and highest 4 roles, flagged against the median of all roles."""
-    return views.role_extremes(reports.trust_by_role(R.scored_table(spark, sf_dir)), 3, 4)
+    return views.role_extremes(_report(spark, sf_dir, "trust_by_role"), 3, 4)
 
 
 @query
 def role_extremes_selected(spark, sf_dir):
     """The same list, flagged against the median of the listed roles."""
-    return views.role_extremes(reports.trust_by_role(R.scored_table(spark, sf_dir)), 5, 3, flag_scope="selected")
+    return views.role_extremes(_report(spark, sf_dir, "trust_by_role"), 5, 3, flag_scope="selected")
 
 
 @query
 def extreme_roles(spark, sf_dir):
-    return P.extreme_rows(reports.trust_by_role(R.scored_table(spark, sf_dir)), "DevType", "AvgTrustScore")
+    return P.extreme_rows(_report(spark, sf_dir, "trust_by_role"), "DevType", "AvgTrustScore")
 
 
 @query
 def country_totals(spark, sf_dir):
-    return views.country_totals(_focus(spark, sf_dir))
+    return views.country_totals(_report(spark, sf_dir, "paradox_profile"))
 
 
 @query
 def top_groups_detail(spark, sf_dir):
-    return views.country_detail(_focus(spark, sf_dir))
+    return views.country_detail(_report(spark, sf_dir, "paradox_profile"))
 
 
 @query
 def country_work_modes(spark, sf_dir):
-    return views.country_work_modes(_focus(spark, sf_dir))
+    return views.country_work_modes(_report(spark, sf_dir, "paradox_profile"))
 
 
 @query
@@ -491,18 +499,16 @@ def filter_options(spark, sf_dir):
 
 @query
 def headline_kpis(spark, sf_dir):
-    scored = R.scored_table(spark, sf_dir)
-    return views.headline(
-        reports.dataset_summary(scored), reports.quadrant_summary(G.add_quadrants(scored)),
-        reports.trust_by_role(scored), reports.experience_analysis(scored),
-    )
+    """All figures from the written reports: no pass over rows."""
+    wanted = ("dataset_summary", "quadrant_summary", "trust_by_role", "experience_analysis")
+    return views.headline(*(_report(spark, sf_dir, name) for name in wanted))
 
 
 # --- interactive slice --------------------------------------------------------
 
 def _slice(spark, sf_dir):
     return views.slice_of(
-        G.add_quadrants(R.scored_table(spark, sf_dir)), roles=R.ROLES[:6],
+        _quadrants(spark, sf_dir), roles=R.ROLES[:6],
         countries=[f"NATION_{i}" for i in range(20)], years=(2, 30), keep_unknown_years=True,
     )
 
@@ -515,7 +521,7 @@ def filtered_slice(spark, sf_dir):
 @query
 def filtered_known_years(spark, sf_dir):
     """No category filter, upper bound only, unknown years left out."""
-    rows = views.slice_of(G.add_quadrants(R.scored_table(spark, sf_dir)), years=(None, 50), keep_unknown_years=False)
+    rows = views.slice_of(_quadrants(spark, sf_dir), years=(None, 50), keep_unknown_years=False)
     return rows.select("ResponseId", "WorkExpNum")
 
 
@@ -613,6 +619,7 @@ def quality_report(spark, sf_dir):
     scored = R.scored_table(spark, sf_dir)
     roles, stages = reports.trust_by_role(scored), reports.experience_analysis(scored)
     scores = ["UsageScore", "TrustScore", "FrustrationScore"]
+    written = [R.stage_path(spark, sf_dir, f"report-{n}", lambda n=n: _report(spark, sf_dir, n)) for n in ("trust_by_role", "experience_analysis")]
     return X.quality_report(
         [
             X.row_count_between(scored, 100, 10_000_000_000_000),
@@ -621,7 +628,7 @@ def quality_report(spark, sf_dir):
             X.within_bounds([(scored, scores), (roles, ["AvgTrustScore"]), (stages, ["AvgTrustScore"])]),
             X.extremes_are(roles, "DevType", "AvgTrustScore", "Student", "Data engineer"),
             X.spread_below(stages, "ExperienceGroup", "AvgTrustScore", V.UNKNOWN, 50.0),
-            X.outputs_exist(spark, [f"{sf_dir}/orders.parquet", f"{sf_dir}/lineitem.parquet"]),
+            X.outputs_exist(spark, written),
         ]
     )
 
@@ -654,13 +661,24 @@ def silhouette(spark, sf_dir):
 
 @query
 def silhouette_sampled(spark, sf_dir):
-    """Euclidean silhouette on at most 5,000 embeddings."""
-    return K.silhouette_sampled(_embedding_points(spark, sf_dir), "label", "embedding", "vec_id")
+    """Euclidean silhouette on a sample of 300 embeddings."""
+    return K.silhouette_sampled(_embedding_points(spark, sf_dir), "label", "embedding", "vec_id", cap=300)
+
+
+_FITTED: dict[tuple[str, str], dict] = {}
+
+
+def _fitted(spark, sf_dir):
+    """The best model per k, fitted once per application and input."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FITTED:
+        _FITTED[key] = K.best_kmeans(_vectors(spark, sf_dir), V.KEY, (2, 3, 4, 5, 6))
+    return _FITTED[key]
 
 
 def _segments(spark, sf_dir):
-    """Clustered rows, fitted once per application and input."""
-    return R.stage(spark, sf_dir, "segments", lambda: models.segment(_vectors(spark, sf_dir)))
+    """Clustered rows, written once per application and input."""
+    return R.stage(spark, sf_dir, "segments", lambda: models.segment(_vectors(spark, sf_dir), fitted=_fitted(spark, sf_dir)))
 
 
 _EVALUATED: dict[tuple[str, str], models.Evaluated] = {}
@@ -676,7 +694,7 @@ def _evaluated(spark, sf_dir):
 
 @query
 def kmeans_scan(spark, sf_dir):
-    return K.kmeans_scan(_vectors(spark, sf_dir), V.KEY)
+    return K.kmeans_scan(_vectors(spark, sf_dir), V.KEY, models=_fitted(spark, sf_dir))
 
 
 @query
@@ -726,8 +744,8 @@ def model_evaluation(spark, sf_dir):
 
 @query
 def cluster_means(spark, sf_dir):
-    """Size and half-even rounded means of the labelled embeddings' first values."""
-    axes = [f"axis{i}" for i in range(4)]
+    """Size and half-even rounded means of all values of the labelled embeddings."""
+    axes = [f"axis{i}" for i in range(64)]
     points = _embedding_points(spark, sf_dir).select(
         long("label").alias("Cluster"), *[F.col("embedding")[i].alias(a) for i, a in enumerate(axes)]
     )

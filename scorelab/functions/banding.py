@@ -26,7 +26,8 @@ def band(
     if len(labels) != len(edges) + 1:
         raise ValueError("need one more label than edges")
     source = as_column(column)
-    chain = F if null_in_last else F.when(source.isNull(), F.lit(null_label))
+    never = F.when(F.lit(False), F.lit(None).cast("string"))
+    chain = never if null_in_last else F.when(source.isNull(), F.lit(null_label))
     for edge, label in zip(edges, labels):
         chain = chain.when(source < F.lit(edge), F.lit(label))
     return chain.otherwise(F.lit(labels[-1]))
@@ -36,11 +37,15 @@ def experience_group(years: Column | str) -> Column:
     """Career stage from years.  The middle ranges are closed whole-year ranges,
     so a fraction between two of them (5.5, 10.5) lands in the last group."""
     source = as_column(years)
-    limit, first = V.EXPERIENCE_BELOW
-    chain = F.when(source.isNull(), F.lit(V.UNKNOWN)).when(source < limit, F.lit(first))
-    for low, high, label in V.EXPERIENCE_RANGES:
-        chain = chain.when(source.between(low, high), F.lit(label))
-    return chain.otherwise(F.lit(V.EXPERIENCE_ELSE))
+    beginner, junior, middle, senior, expert, unknown = V.EXPERIENCE_GROUPS
+    return (
+        F.when(source.isNull(), F.lit(unknown))
+        .when(source < 2, F.lit(beginner))
+        .when(source.between(2, 5), F.lit(junior))
+        .when(source.between(6, 10), F.lit(middle))
+        .when(source.between(11, 20), F.lit(senior))
+        .otherwise(F.lit(expert))
+    )
 
 
 def quadrant_label(x: Column | str, y: Column | str, x_cut: Column, y_cut: Column) -> Column:

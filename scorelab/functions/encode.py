@@ -23,7 +23,7 @@ def ordinal(column: Column | str, points: Mapping[str, int | float], default) ->
     """Points for an exact answer text; ``default`` (0 or None) must be stated."""
     source = as_column(column)
     kind = "double" if any(isinstance(v, float) for v in points.values()) else "int"
-    chain = F
+    chain = F.when(F.lit(False), F.lit(default))
     for text, value in points.items():
         chain = chain.when(source == F.lit(text), F.lit(value))
     return chain.otherwise(F.lit(default)).cast(kind)

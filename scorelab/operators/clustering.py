@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from scorelab.functions.encode import named
 from scorelab.operators.sampling import bounded_sample
 from scorelab.operators.segments import one_row
-from scorelab.session import materialise
+from scorelab.session import dealt, materialise
 
-BLOCKS = 16  # a bounded sample is compared block by block
+BLOCK_ROWS = 500  # about so many rows of a bounded sample are compared with as many others at a time
 
 
 def standardize(df: DataFrame, columns: Sequence[str], suffix: str = "_z") -> DataFrame:
@@ -58,22 +58,23 @@ def in_parallel(spark: SparkSession, tasks: Iterable[Callable], workers: int) ->
         return pool.map(lambda task: task(), wrapped)
 
 
-def best_kmeans(vectors: DataFrame, ks: Sequence[int], seed: int = 42, starts: int = 10, workers: int = 8,
-                max_iter: int = 20) -> dict[int, KMeansModel]:
-    """Per k the cheapest of several seeded starts."""
+def best_kmeans(vectors: DataFrame, key: str, ks: Sequence[int], seed: int = 42, starts: int = 10,
+                workers: int = 8, max_iter: int = 300, parts: int | None = None) -> dict[int, KMeansModel]:
+    """Per k the cheapest of several seeded starts, each run until its centres stay.
+
+    The starts draw per partition, so rows are dealt by a hash of ``key`` into ``parts``
+    partitions: the same fit on any number of cores.
+    """
 
     def fit(k: int, start: int) -> Callable[[], tuple[int, KMeansModel]]:
         estimator = KMeans(k=k, seed=seed + start, maxIter=max_iter, featuresCol="features")
         return lambda: (k, estimator.fit(rows))
 
-    rows = vectors.select("features")
-    cores = vectors.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() <= cores:
-        # A small table: the concurrent fits share the cores, each gets its part.
-        rows = rows.coalesce(max(1, cores // workers))
-    rows = rows.persist()
-    fitted = in_parallel(vectors.sparkSession, [fit(k, start) for k in ks for start in range(starts)], workers)
-    rows.unpersist()
+    rows = dealt(vectors.select(named(key), "features"), key, parts).select("features").persist()
+    try:
+        fitted = in_parallel(vectors.sparkSession, [fit(k, start) for k in ks for start in range(starts)], workers)
+    finally:
+        rows.unpersist()
     return {k: min((m for kk, m in fitted if kk == k), key=lambda m: m.summary.trainingCost) for k in ks}
 
 
@@ -93,15 +94,17 @@ def kmeans_scan(
     ks: Sequence[int] = (2, 3, 4, 5, 6),
     seed: int = 42,
     starts: int = 10,
-    sample_cap: int | None = 5000,
+    sample_cap: int | None = None,
     workers: int = 8,
+    models: dict[int, KMeansModel] | None = None,
 ) -> DataFrame:
-    """(k, inertia, silhouette) sorted by k.
+    """(k, inertia, silhouette, iterations) sorted by k.
 
-    The silhouette is the Euclidean one on a bounded sample; with
-    ``sample_cap=None`` it is the squared-Euclidean one over all rows.
+    The silhouette is the squared-Euclidean one over all rows; with a
+    ``sample_cap`` it is the Euclidean one on a sample of that size.  ``models``
+    are those of ``best_kmeans``, fitted here if not given.
     """
-    models = best_kmeans(vectors, ks, seed, starts, workers)
+    models = models or best_kmeans(vectors, key, ks, seed, starts, workers)
 
     def score(k: int) -> Callable[[], float]:
         marked = assign_clusters(vectors, models[k])
@@ -111,8 +114,8 @@ def kmeans_scan(
         return lambda: silhouette_sampled(points, "Cluster", "features", key, sample_cap, seed).first()[0]
 
     scores = in_parallel(vectors.sparkSession, [score(k) for k in ks], workers)
-    rows = [(k, float(models[k].summary.trainingCost), float(s)) for k, s in zip(ks, scores)]
-    return vectors.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double").orderBy("k")
+    rows = [(k, float(models[k].summary.trainingCost), float(s), models[k].summary.numIter) for k, s in zip(ks, scores)]
+    return vectors.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double, iterations int").orderBy("k")
 
 
 def silhouette_all(df: DataFrame, cluster: str, features: str = "features") -> DataFrame:
@@ -127,21 +130,22 @@ def silhouette_sampled(df: DataFrame, cluster: str, features: str, key: str, cap
                        ) -> DataFrame:
     """Euclidean silhouette on at most ``cap`` rows drawn by key hash.
 
-    Only the sample is compared with itself.  It is packed into 16 blocks (so at
-    most cap/16 rows or so each); a task gets two blocks and returns, per row and
-    cluster, the sum of distances and the number of rows met.
+    Only the sample is compared with itself.  It is packed into blocks of about 500
+    rows; a task gets two blocks and returns, per row and cluster, the sum of
+    distances and the number of rows met.
     """
+    blocks = -(-cap // BLOCK_ROWS)
     points = df.select(named(key).cast("string").alias("_key"), named(cluster).cast("int").alias("_own"),
                        named(features).cast("array<double>").alias("_point"))
     # Both sides of the comparison read the written sample; the table is not drawn from twice.
     sample = materialise(bounded_sample(points, "_key", cap, seed), "sample")
     packed = (
-        sample.groupBy(F.pmod(F.xxhash64("_key"), F.lit(BLOCKS)).cast("int").alias("_block"))
+        sample.groupBy(F.pmod(F.xxhash64("_key"), F.lit(blocks)).cast("int").alias("_block"))
         .agg(F.collect_list(F.struct("_key", "_own", "_point")).alias("_rows"))
         .select("_block", F.col("_rows._key").alias("keys"), F.col("_rows._own").alias("owns"),
                 F.flatten(F.col("_rows._point")).alias("points"))
     )
-    left = packed.withColumn("_with", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))))
+    left = packed.withColumn("_with", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     right = packed.select(F.col("_block").alias("_with"), F.col("owns").alias("other_owns"),
                           F.col("points").alias("other_points"))
 
@@ -154,18 +158,14 @@ def silhouette_sampled(df: DataFrame, cluster: str, features: str, key: str, cap
                 others = np.asarray(row.other_owns)
                 a = np.asarray(row.points).reshape(len(row.keys), -1)
                 b = np.asarray(row.other_points).reshape(len(others), -1)
-                parts = []
-                # One row against a block at a time keeps memory at one block.
-                distance = np.stack([np.sqrt(((b - p) ** 2).sum(axis=1)) for p in a])
-                for other in np.unique(others):
-                    inside = others == other
-                    parts.append(
-                        pd.DataFrame(
-                            {"_key": row.keys, "_own": row.owns, "_other": int(other),
-                             "_sum": distance[:, inside].sum(axis=1), "_met": int(inside.sum())}
-                        )
-                    )
-                yield pd.concat(parts)
+                clusters, place = np.unique(others, return_inverse=True)
+                # One row against a block at a time: its distances are added up per cluster at once.
+                sums = np.stack([np.bincount(place, np.sqrt(((b - p) ** 2).sum(axis=1))) for p in a])
+                met = np.bincount(place)
+                yield pd.concat(
+                    pd.DataFrame({"_key": row.keys, "_own": row.owns, "_other": int(c), "_sum": sums[:, i], "_met": int(met[i])})
+                    for i, c in enumerate(clusters)
+                )
 
     pairs = left.join(right, "_with").select("keys", "owns", "points", "other_owns", "other_points")
     met = pairs.mapInPandas(block_distances, "_key string, _own int, _other int, _sum double, _met long")

@@ -8,52 +8,33 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scorelab.functions.encode import named
+from scorelab.session import materialise
 
-SLICES = 1000  # value ranges a running total is cut into; located digit by digit
 
+def _ranged(df: DataFrame, groups: Sequence[str], order: str) -> DataFrame:
+    """Rows in value ranges of about equal count, one per task, with the range's number as ``_range``.
 
-def _sliced(df: DataFrame, groups: Sequence[str], order: str, sums: Sequence[str]) -> DataFrame:
-    """Add ``_slice``, a value range of about equal count, and ``<sum>_total`` per group.
-
-    Totals and range limits come from one aggregate that is a single row per
-    group; the callers' groups are a fixed list of column names, so the
-    broadcast is too.  The slice is the number of limits a value has passed,
-    found one decimal digit at a time with nine comparisons each.
+    Equal values share a range.  The table is written, so that offsets and rows are
+    read from one and the same cut whatever is computed again later.
     """
-    # One text literal: a thousand literal nodes would slow every planning step.
-    points = F.split(F.lit(",".join(str(i / SLICES) for i in range(1, SLICES))), ",").cast("array<double>")
-    limits = df.groupBy(*groups).agg(
-        F.percentile_approx(named(order), points, 10 * SLICES).alias("_limits"),
-        *[F.sum(named(s)).alias(f"{s}_total") for s in sums],
+    ordered = df.repartitionByRange(*[named(c) for c in [*groups, order]])
+    return materialise(ordered.withColumn("_range", F.spark_partition_id()), "ranges")
+
+
+def _offsets(ranged: DataFrame, groups: Sequence[str], sums: Sequence[str]) -> DataFrame:
+    """Per group and range the sums, the totals over earlier ranges and the group's totals."""
+    totals = ranged.groupBy(*groups, "_range").agg(*[F.sum(named(s)).alias(f"_{s}_here") for s in sums])
+    everyone = Window.partitionBy(*groups)
+    earlier = everyone.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.withColumns(
+        {f"_{s}_offset": F.coalesce(F.sum(f"_{s}_here").over(earlier), F.lit(0)) for s in sums}
+        | {f"{s}_total": F.sum(f"_{s}_here").over(everyone) for s in sums}
     )
-    steps = (100, 10, 1)
-    for step in steps:
-        every = F.sequence(F.lit(1), F.lit(SLICES // step - 1))
-        limits = limits.withColumn(f"_every{step}", F.transform(every, lambda i: F.element_at("_limits", i * step)))
-    located = df.join(F.broadcast(limits.drop("_limits")), list(groups)).withColumn("_slice", F.lit(0))
-    for step in steps:
-        next_nine = F.slice(f"_every{step}", F.col("_slice") * 10 + 1, F.lit(9))
-        passed = F.size(F.filter(next_nine, lambda limit: limit <= named(order)))
-        located = located.withColumn("_slice", F.col("_slice") * 10 + passed)
-    return located.drop(*[f"_every{step}" for step in steps])
-
-
-def _slice_keys(groups: Sequence[str], sums: Sequence[str]) -> list[str]:
-    # Totals belong to the group; as keys they keep both uses of the limits the
-    # same plan, so Spark computes them, and the counts below them, once.
-    return [*groups, "_slice", *[f"{s}_total" for s in sums]]
-
-
-def _slice_offsets(sliced: DataFrame, groups: Sequence[str], sums: Sequence[str]) -> DataFrame:
-    """Per slice the sums and their totals over earlier slices: at most SLICES rows per group."""
-    totals = sliced.groupBy(*_slice_keys(groups, sums)).agg(*[F.sum(named(s)).alias(f"_{s}_here") for s in sums])
-    earlier = Window.partitionBy(*groups).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    return totals.withColumns({f"_{s}_offset": F.coalesce(F.sum(f"_{s}_here").over(earlier), F.lit(0)) for s in sums})
 
 
 def _add_running(located: DataFrame, groups: Sequence[str], order: str, sums: Sequence[str]) -> DataFrame:
     inside = (
-        Window.partitionBy(*groups, "_slice").orderBy(named(order)).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*groups, "_range").orderBy(named(order)).rowsBetween(Window.unboundedPreceding, -1)
     )
     return located.withColumns(
         {
@@ -67,26 +48,29 @@ def running_totals(df: DataFrame, groups: Sequence[str], order: str, sums: Seque
     """Add ``<sum>_before``, the total of ``sum`` over smaller ``order`` values, and
     ``<sum>_total``.
 
-    ``df`` holds one row per (groups, order) value.  Each group is cut into about
-    a thousand value ranges; totals per range give offsets, and a window per range
-    does the rest.  So no task sorts a whole group, however many values it has.
+    ``df`` holds one row per (groups, order) value.  Rows are dealt into value
+    ranges, as many as the session has shuffle partitions; totals per range give
+    offsets, and a window per range does the rest.  So no task sorts a whole group,
+    however many values it has.
     """
-    sliced = _sliced(df, groups, order, sums)
-    offsets = _slice_offsets(sliced, groups, sums)
-    located = sliced.join(F.broadcast(offsets), _slice_keys(groups, sums))  # at most SLICES rows per group
+    ranged = _ranged(df, groups, order)
+    located = ranged.join(_offsets(ranged, groups, sums), [*groups, "_range"])
     return _add_running(located, groups, order, sums).select(
         *[named(c) for c in df.columns], *[f"{s}_before" for s in sums], *[f"{s}_total" for s in sums]
     )
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, value, n) for several numeric columns, counted in a single pass."""
+    """(column, value, n) for several numeric columns, counted in a single pass.
+
+    Null and NaN are no values.
+    """
     pairs = F.array(
         *[F.struct(F.lit(c).alias("column"), named(c).cast("double").alias("value")) for c in columns]
     )
     return (
         df.select(F.inline(pairs))
-        .where(F.col("value").isNotNull())
+        .where(F.col("value").isNotNull() & ~F.isnan("value"))
         .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -95,14 +79,15 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def median_cuts(df: DataFrame, columns: Sequence[str], method: str = "sliced", accuracy: int = 1000) -> DataFrame:
     """One row with the lower median of each column, itself a value of the data.
 
-    ``sliced``      exact for any column: counts equal values, finds the value range
-                    that holds the middle rank, and ranks only the values in it.
+    ``sliced``      exact for any column: counts equal values, deals them into value
+                    ranges, and ranks only those in the range with the middle rank.
     ``few_values``  exact with fewer steps, for columns whose number of distinct
                     values is small by construction: ranks all distinct values.
     ``sketch``      a quantile sketch with relative error ``1/accuracy``, one pass.
     """
     if method == "sketch":
-        return df.agg(*[F.percentile_approx(named(c), 0.5, accuracy).alias(c) for c in columns])
+        known = [F.when(~F.isnan(named(c).cast("double")), named(c)) for c in columns]
+        return df.agg(*[F.percentile_approx(value, 0.5, accuracy).alias(c) for c, value in zip(columns, known)])
     counts = value_counts(df, columns)
     rank = F.ceil(F.col("n_total") / 2)
     if method == "few_values":
@@ -112,9 +97,8 @@ def median_cuts(df: DataFrame, columns: Sequence[str], method: str = "sliced", a
             {"n_total": F.sum("n").over(everyone), "n_before": F.coalesce(F.sum("n").over(smaller), F.lit(0))}
         )
     elif method == "sliced":
-        sliced = _sliced(counts, ["column"], "value", ["n"])
-        offsets = _slice_offsets(sliced, ["column"], ["n"])
-        located = sliced.join(F.broadcast(offsets), _slice_keys(["column"], ["n"])).where(
+        ranged = _ranged(counts, ["column"], "value")
+        located = ranged.join(_offsets(ranged, ["column"], ["n"]), ["column", "_range"]).where(
             (F.col("_n_offset") < rank) & (F.col("_n_offset") + F.col("_n_here") >= rank)
         )
         ranked = _add_running(located, ["column"], "value", ["n"])

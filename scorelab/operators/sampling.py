@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from scorelab.functions.encode import named
 from scorelab.functions.hashing import hash_bucket, hash_key
 
-MAX_CLASSES = 1024
 ABOVE_ALL = "g"  # sorts after every hex digit
 
 
@@ -50,12 +49,9 @@ def test_quotas(totals: DataFrame, label: str, count: str, fraction: str) -> Dat
     """Test rows per class: ceil(fraction * n) in all, shared by largest remainder.
 
     Whole-number arithmetic on decimals, so large tables neither overflow nor round.
-    ``fraction`` is decimal text such as ``"0.2"``.  More than 1,024 classes is an
-    error, so everything derived from the quotas is small.
+    ``fraction`` is decimal text such as ``"0.2"``.
     """
     everyone = Window.partitionBy()  # one row per class
-    few = F.count(F.lit(1)).over(everyone) <= MAX_CLASSES
-    too_many = F.raise_error(F.lit(f"more than {MAX_CLASSES} classes to stratify by")).cast("long")
     exact = f"CAST({count} AS DECIMAL(19,0))"
     sized = totals.withColumn("_all", F.sum(count).over(everyone)).withColumn(
         "_test", F.expr(f"CAST(CEIL(CAST(_all AS DECIMAL(19,0)) * CAST('{fraction}' AS DECIMAL(10,9))) AS BIGINT)")
@@ -69,31 +65,35 @@ def test_quotas(totals: DataFrame, label: str, count: str, fraction: str) -> Dat
     left_over = F.col("_test") - F.sum("_floor").over(everyone)
     turn = F.row_number().over(Window.orderBy(F.col("_rest").desc(), named(label)))
     take = F.col("_floor") + F.when(F.col("_turn") <= F.col("_left"), 1).otherwise(0)
-    return shared.withColumns({"_left": left_over, "_turn": turn, "_few": few}).select(
-        named(label), F.when(F.col("_few"), take).otherwise(too_many).alias("_take")
-    )
+    return shared.withColumns({"_left": left_over, "_turn": turn}).select(named(label), take.alias("_take"))
 
 
 def mark_test_rows(df: DataFrame, label: str, key: str, fraction: str = "0.2", seed: int = 42,
                    name: str = "is_test") -> DataFrame:
-    """Add a boolean that marks an exact, stratified test share.  ``key`` must be unique."""
-    hashed = _hashed(df, key, seed, [named(label)])
-    prefixes = _prefix_totals(hashed, [label])
-    totals = prefixes.groupBy(named(label)).agg(F.sum("_n").alias("_n"))
-    quotas = test_quotas(totals, label, "_n", fraction)
-    edge = prefixes.join(F.broadcast(quotas), label).where(
+    """Add a boolean that marks an exact, stratified test share.  ``key`` must be unique.
+
+    Rows without a label are a class like any other.  Quotas and cuts have one row
+    per class and are joined by class; Spark broadcasts them where they are small.
+    """
+    hashed = _hashed(df, key, seed, [named(label).alias("_class")])
+    prefixes = _prefix_totals(hashed, ["_class"])
+    quotas = test_quotas(prefixes.groupBy("_class").agg(F.sum("_n").alias("_n")), "_class", "_n", fraction)
+
+    def matched(left: DataFrame, right: DataFrame, how: str = "inner", more: Sequence[str] = ()) -> DataFrame:
+        other = right.withColumnsRenamed({c: f"_{c}" for c in ["_class", *more]})
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ["_class", *more]]
+        return left.join(other, same, how).drop(*[f"_{c}" for c in ["_class", *more]])
+
+    edge = matched(prefixes, quotas).where(
         (F.col("_upto") >= F.col("_take")) & (F.col("_upto") - F.col("_n") < F.col("_take"))
-    ).select(label, "_bucket", (F.col("_take") - F.col("_upto") + F.col("_n")).alias("_need"))
-    # Quotas and edges are one row per class, and the quotas check the classes.
-    inside = hashed.join(F.broadcast(edge), [label, "_bucket"])
-    place = F.row_number().over(Window.partitionBy(label, "_bucket").orderBy("_hash"))
-    cuts = inside.withColumn("_place", place).where(F.col("_place") == F.col("_need"))
-    lookup = cuts.agg(
-        F.map_from_entries(F.collect_list(F.struct(named(label), F.col("_hash")))).alias("_cuts")
-    ).scalar()
-    # A class without a quota has no entry, and none of its rows is a test row.
-    return df.withColumn(
-        name, F.coalesce(hash_key(key, seed) <= F.try_element_at(lookup, named(label)), F.lit(False))
+    ).select("_class", "_bucket", (F.col("_take") - F.col("_upto") + F.col("_n")).alias("_need"))
+    inside = matched(hashed, edge, more=["_bucket"])
+    place = F.row_number().over(Window.partitionBy("_class", "_bucket").orderBy("_hash"))
+    cuts = inside.withColumn("_place", place).where(F.col("_place") == F.col("_need")).select("_class", F.col("_hash").alias("_cut"))
+    # A class without a quota has no cut, and none of its rows is a test row.
+    marked = matched(df.withColumn("_class", named(label)), cuts, "left")
+    return marked.withColumn(name, F.coalesce(hash_key(key, seed) <= F.col("_cut"), F.lit(False))).select(
+        *[named(c) for c in df.columns], name
     )
 
 

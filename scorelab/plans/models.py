@@ -13,6 +13,7 @@ from scorelab.operators import classify as C
 from scorelab.operators import clustering as K
 from scorelab.operators import metrics as M
 from scorelab.operators.sampling import mark_test_rows
+from scorelab.operators.scores import TRUST, USAGE
 from scorelab.operators.segments import add_label, score_cuts
 from scorelab.session import materialise
 
@@ -27,9 +28,19 @@ def cluster_vectors(scored: DataFrame, cuts: DataFrame | None = None) -> DataFra
     return K.standardized_vectors(model_rows(scored, cuts), V.CLUSTER_FEATURES, [V.KEY, V.LABEL])
 
 
-def segment(vectors: DataFrame, k: int = 4, seed: int = 42, starts: int = 10) -> DataFrame:
-    """Rows with a canonical cluster id."""
-    return K.assign_clusters(vectors, K.best_kmeans(vectors, [k], seed, starts)[k])
+def segment(vectors: DataFrame, k: int = 4, seed: int = 42, starts: int = 10, fitted: dict | None = None) -> DataFrame:
+    """Rows with a canonical cluster id, by a model of ``fitted`` (k: model) or a fit of its own."""
+    fitted = fitted or K.best_kmeans(vectors, V.KEY, [k], seed, starts)
+    return K.assign_clusters(vectors, fitted[k])
+
+
+def label_lineage(allowed: Sequence[str] = V.PREDICTORS) -> list[str]:
+    """Scores behind the label and their components, but for usage inputs that are ``allowed`` by name."""
+    inputs = {c.column for c in USAGE.components}
+    # A capped count is its count as far as a model is concerned.
+    inputs |= {c.removesuffix("Capped") for c in inputs}
+    hidden = {USAGE.name, TRUST.name, *(c.column for c in TRUST.components), *(inputs - set(allowed))}
+    return sorted(hidden)
 
 
 @dataclass(frozen=True)
@@ -50,13 +61,17 @@ def classify(
     seed: int = 42,
     seeds: Sequence[int] = tuple(V.FOREST_SEEDS),
     trees: int = 200,
-    depth: int = 10,
+    depth: int = 30,
 ) -> Evaluated:
-    """Predict the focus quadrant from columns that do not define it."""
+    """Predict the focus quadrant.
+
+    No trust component is a predictor.  Usage inputs are, on purpose: the question is
+    which habits go with low trust among heavy users, so their share in the label is known.
+    """
     cuts = score_cuts(scored)
     marked = materialise(mark_test_rows(model_rows(scored, cuts), V.LABEL, V.KEY, fraction, seed), "split")
     train, test = marked.where(~F.col("is_test")), marked.where("is_test")
-    ensemble = C.fit_ensemble(train, V.PREDICTORS, V.LABEL, seeds, trees, depth, V.LABEL_LINEAGE)
+    ensemble = C.fit_ensemble(train, V.PREDICTORS, V.LABEL, seeds, trees, depth, label_lineage(), key=V.KEY)
     voted = C.vote(ensemble, test.select(V.KEY, *V.PREDICTORS, V.LABEL)).drop(V.LABEL)
     # Three forests per row are worth computing once.
     predictions = materialise(voted, "predictions")

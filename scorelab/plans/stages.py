@@ -3,11 +3,13 @@ can run as its own job and a failed one restarts from its predecessor's table.""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from scorelab import vocabulary as V
 from scorelab.operators.clean import clean_responses
-from scorelab.operators.clustering import cluster_summary, kmeans_scan
+from scorelab.operators.clustering import best_kmeans, cluster_summary, kmeans_scan
 from scorelab.operators.scores import score_responses
 from scorelab.operators.segments import add_quadrants
 from scorelab.plans.models import Evaluated, classify, cluster_vectors, segment
@@ -47,13 +49,16 @@ def report(spark: SparkSession, out: str, exact: bool = True, role_support: int
     return reports
 
 
-def model(spark: SparkSession, out: str, k: int = 4, starts: int = 10, trees: int = 200, depth: int = 10
-          ) -> Evaluated:
+def model(spark: SparkSession, out: str, k: int = 4, starts: int = 10, trees: int = 200, depth: int = 30,
+          ks: Sequence[int] = (2, 3, 4, 5, 6)) -> Evaluated:
     """Scored table to k scan, clusters, ensemble predictions and metrics."""
     scored = read_table(spark, f"{out}/{SCORED}")
     vectors = materialise(cluster_vectors(scored), "vectors")
-    write_report(kmeans_scan(vectors, V.KEY, starts=starts), f"{out}/{MODELS}/kmeans_scan", order_by=[("k", False)])
-    clusters = segment(vectors, k, starts=starts).drop("features")
+    # Every k and start is fitted once; the scan and the final clusters share the models.
+    fitted = best_kmeans(vectors, V.KEY, sorted({*ks, k}), starts=starts)
+    scan = kmeans_scan(vectors, V.KEY, ks, models=fitted)
+    write_report(scan, f"{out}/{MODELS}/kmeans_scan", order_by=[("k", False)])
+    clusters = segment(vectors, k, fitted=fitted).drop("features")
     write_table(clusters, f"{out}/{MODELS}/cluster_rows")
     summary = cluster_summary(read_table(spark, f"{out}/{MODELS}/cluster_rows"), V.CLUSTER_FEATURES)
     write_report(summary, f"{out}/{MODELS}/cluster_summary", order_by=[("Cluster", False)])

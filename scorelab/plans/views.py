@@ -18,10 +18,10 @@ from scorelab.operators.segments import dense_grid, density, one_row
 USAGE_ORDER = [*V.USAGE_POINTS, V.UNKNOWN]
 
 
-def usage_labels(distribution: DataFrame) -> DataFrame:
+def usage_labels(distribution: DataFrame, labels: Mapping[str, str] = V.USAGE_LABELS) -> DataFrame:
     """Usage categories relabelled, from least to most active."""
     return P.ordered_by_category(distribution, "AISelect", USAGE_ORDER, ascending=False).select(
-        "AISelect", lookup("AISelect", V.USAGE_LABELS).alias("Label"), P.COUNT,
+        "AISelect", lookup("AISelect", labels).alias("Label"), P.COUNT,
         thousands_text(P.COUNT).alias("CountLabel"),
     )
 
@@ -88,10 +88,10 @@ def density_matrix(scored: DataFrame) -> DataFrame:
     return dense_grid(density(scored, "UsageScore", "TrustScore"))
 
 
-def importance_bars(importance: DataFrame) -> DataFrame:
-    """Importances as labelled percentages, smallest first."""
+def importance_bars(importance: DataFrame, labels: Mapping[str, str] = V.FEATURE_LABELS) -> DataFrame:
+    """Importances as labelled percentages, smallest first, with the caller's labels if given."""
     return importance.orderBy("Importance", F.col("Feature").desc()).select(
-        "Feature", lookup("Feature", V.FEATURE_LABELS).alias("FeatureLabel"),
+        "Feature", lookup("Feature", labels).alias("FeatureLabel"),
         (F.col("Importance") * 100).alias("ImportancePct"),
         percent_text(F.col("Importance") * 100).alias("ImportanceLabel"),
     )

@@ -28,13 +28,14 @@ def local_session(cpus: int | str = "*", app: str = "scorelab") -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder: on a cluster a
-    machine-local path would vanish with its executor, so that is an error.
+    Only a local master may fall back to a temporary folder: on a cluster, one of
+    local-cluster mode included, a machine-local path would vanish with its executor,
+    so that is an error.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="scorelab-")
     if context.getCheckpointDir() is None:
@@ -58,10 +59,12 @@ def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def spread_out(df: DataFrame) -> DataFrame:
-    """Use all cores for a table that lies in fewer splits than there are cores.
+def dealt(df: DataFrame, key: str, parts: int | None = None) -> DataFrame:
+    """Rows in ``parts`` partitions by a hash of the key, in key order inside each.
 
-    Large tables have many splits and pass through untouched.
+    Seeded fits draw per partition, so partitions must depend on the data and on a stated
+    number alone.  Without ``parts`` it is ``spark.sql.shuffle.partitions``.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    if parts is None:
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, key).sortWithinPartitions(key)

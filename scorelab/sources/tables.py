@@ -29,14 +29,29 @@ def read_optional_table(spark: SparkSession, path: str, kind: str = "parquet") -
         raise
 
 
-def _below(file: str, folder: str) -> bool:
-    return urlparse(file).path.startswith(urlparse(folder).path.rstrip("/") + "/")
+def _root_paths(df: DataFrame) -> list[str]:
+    """The paths the plan's file relations were opened with: a few names, never a listing of files."""
+    paths = []
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves().iterator()
+    while leaves.hasNext():
+        leaf = leaves.next()
+        if leaf.getClass().getSimpleName() == "LogicalRelation" and leaf.relation().getClass().getSimpleName() == "HadoopFsRelation":
+            roots = leaf.relation().location().rootPaths().iterator()
+            while roots.hasNext():
+                paths.append(roots.next().toString())
+    return paths
+
+
+def _overlap(one: str, other: str) -> bool:
+    """Whether one path is the other or lies below it."""
+    a, b = (urlparse(p).path.rstrip("/") + "/" for p in (one, other))
+    return a.startswith(b) or b.startswith(a)
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace a Parquet table.  ``path`` must not be among the plan's own inputs:
     overwriting removes the old files before the new ones are computed."""
-    if any(_below(used, path) for used in df.inputFiles()):
+    if any(_overlap(used, path) for used in _root_paths(df)):
         raise ValueError(f"{path} is read by this plan; write elsewhere")
     writer = df.write.mode("overwrite")
     if partition_by:

@@ -8,23 +8,19 @@ compared without trimming or case folding.
 # --- fixed values: columns kept from the raw export --------------------------
 KEY = "ResponseId"
 
-PROFILE_COLUMNS = [
+SURVEY_COLUMNS = [
     "ResponseId", "MainBranch", "Age", "EdLevel", "Employment",
     "WorkExp", "YearsCode", "DevType", "OrgSize", "ICorPM",
     "RemoteWork", "Country", "Industry", "ConvertedCompYearly", "JobSat",
-]
-SENTIMENT_COLUMNS = [
     "AIThreat", "SOFriction",
     "AISelect", "AISent", "AIAcc", "AIComplex",
     "AIToolCurrently partially AI", "AIToolCurrently mostly AI",
     "AIToolPlan to partially use AI", "AIToolPlan to mostly use AI",
     "AIToolDon't plan to use AI for this task",
     "AIFrustration", "AIExplain",
+    "AIAgents", "AIAgentChange", "AIAgent_Uses", "AgentUsesGeneral",
+    "AIModelsHaveWorkedWith", "DevEnvsHaveWorkedWith",
 ]
-AGENT_COLUMNS = ["AIAgents", "AIAgentChange", "AIAgent_Uses", "AgentUsesGeneral"]
-TOOL_COLUMNS = ["AIModelsHaveWorkedWith", "DevEnvsHaveWorkedWith"]
-
-SURVEY_COLUMNS = PROFILE_COLUMNS + SENTIMENT_COLUMNS + AGENT_COLUMNS + TOOL_COLUMNS
 
 # --- fixed values: missing answers -------------------------------------------
 NULL_TOKEN = "NA"
@@ -110,14 +106,6 @@ USAGE_BANDS = [
     "Medium-High (50-75)",
     "High (75-100)",
 ]
-# Closed ranges of years; below 2 is the first group, anything else the expert group.
-EXPERIENCE_BELOW = (2, "Beginner: 0-1 years")
-EXPERIENCE_RANGES = [
-    (2, 5, "Junior: 2-5 years"),
-    (6, 10, "Mid-level: 6-10 years"),
-    (11, 20, "Senior: 11-20 years"),
-]
-EXPERIENCE_ELSE = "Expert: 20+ years"
 EXPERIENCE_GROUPS = [
     "Beginner: 0-1 years",
     "Junior: 2-5 years",
@@ -147,8 +135,6 @@ PREDICTORS = [
     "DevEnvToolCount", "WorkExpNum",
 ]
 LABEL = "ParadoxLabel"
-# Trust components define the label, so no model may see them.
-LABEL_LINEAGE = ["TrustAcc", "TrustComplex", "Sentiment", "TrustScore", "UsageScore"]
 FOREST_SEEDS = [42, 1337, 2025]
 
 # --- fixed values: display labels --------------------------------------------

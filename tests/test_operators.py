@@ -15,6 +15,7 @@ from scorelab.operators import profiles as P
 from scorelab.operators import ranking as R
 from scorelab.operators import sampling as S
 from scorelab.operators import segments as G
+from scorelab.plans import models
 
 
 def test_dedupe_keeps_one_row_per_key(spark):
@@ -216,7 +217,7 @@ def _planted(spark, n=600):
 
 def test_kmeans_finds_planted_groups_with_canonical_ids(spark):
     vectors = K.standardized_vectors(_planted(spark), ["a", "b"], ["id", "y"])
-    marked = K.assign_clusters(vectors, K.best_kmeans(vectors, [2], starts=2)[2])
+    marked = K.assign_clusters(vectors, K.best_kmeans(vectors, "id", [2], starts=2)[2])
     assert marked.groupBy("y").agg(F.countDistinct("Cluster").alias("n")).agg(F.max("n")).first()[0] == 1
     assert marked.where("y = 0 AND Cluster <> 0").count() == 0  # larger centre first
     scan = K.kmeans_scan(vectors, "id", (2, 3), starts=2).collect()
@@ -238,11 +239,71 @@ def test_forest_votes_on_planted_signal(spark):
 
 def test_label_lineage_is_refused():
     with pytest.raises(ValueError, match="TrustScore"):
-        C.check_leakage(["UsageFreq", "TrustScore"], V.LABEL_LINEAGE)
+        C.check_leakage(["UsageFreq", "TrustScore"], models.label_lineage())
 
 
-def test_split_refuses_too_many_classes(spark):
-    df = spark.range(2000).select("id", F.col("id").cast("string").alias("y"))
-    with pytest.raises(Exception, match="classes to stratify by"):
-        S.mark_test_rows(df, "y", "id").count()
-        S.mark_test_rows(df, "y", "id").where("is_test").count()
+def test_split_with_many_classes_and_rows_without_a_label(spark):
+    df = spark.range(6000).select("id", (F.col("id") % 2000).cast("string").alias("y"))
+    assert S.mark_test_rows(df, "y", "id").where("is_test").count() == 1200
+    half = spark.range(100).select("id", F.when(F.col("id") < 50, F.lit("a")).alias("y"))
+    marked = S.mark_test_rows(half, "y", "id")
+    assert marked.columns == ["id", "y", "is_test"] and marked.count() == 100
+    assert sorted(r["count"] for r in marked.where("is_test").groupBy("y").count().collect()) == [10, 10]
+
+
+def test_medians_leave_nan_out(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (3.0,)] + [(float("nan"),)] * 4 + [(None,)], "v double")
+    assert [R.median_cuts(df, ["v"], method).first()[0] for method in ("sliced", "few_values", "sketch")] == [2.0] * 3
+
+
+def test_one_class_is_refused_before_the_fit(spark):
+    with pytest.raises(ValueError, match="both classes"):
+        C.fit_ensemble(_planted(spark).where("y = 1"), ["a", "b"], "y")
+
+
+def test_empty_chains(spark):
+    from scorelab.functions.banding import band
+    from scorelab.functions.encode import ordinal
+
+    row = spark.range(1).select(band("id", [], ["all"], null_in_last=True).alias("b"), ordinal("id", {}, default=0).alias("o")).first()
+    assert (row.b, row.o) == ("all", 0)
+
+
+def test_text_follows_the_binary_value(spark):
+    values = [2.675, 0.15, 0.25, 0.35, 2.5, -2.675, -0.04, 0.0, 1e15, 123456789.125, 0.375, 1e20, 99.995, 1 / 3]
+    values += [random.Random(i).uniform(-1000, 1000) for i in range(200)] + [i / 200 for i in range(400)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    from scorelab.functions import fixed_text
+
+    for places in (0, 1, 2, 3):
+        assert [r[0] for r in df.select(fixed_text("v", places)).collect()] == [f"{v:.{places}f}" for v in values]
+
+
+def test_lineage_follows_the_specs():
+    assert {"TrustScore", "UsageScore", "Sentiment"} <= set(models.label_lineage())
+    assert "UsageFreq" in models.label_lineage(allowed=())
+    C.check_leakage(V.PREDICTORS, models.label_lineage())
+    with pytest.raises(ValueError, match="AIModelCount"):
+        C.check_leakage(V.PREDICTORS, models.label_lineage(allowed=["UsageFreq", "AgentDepth", "WorkflowIntegration"]))
+
+
+def test_running_totals_without_exchange_reuse(spark):
+    df = spark.range(5000).select((F.col("id") % 3).alias("g"), F.col("id").alias("v"), F.lit(2).alias("n"))
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        rows = R.running_totals(df, ["g"], "v", ["n"]).collect()
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+    assert len(rows) == 5000 and all(r.n_before == 2 * (r.v // 3) for r in rows)
+
+
+def test_fits_depend_on_stated_partitions_only(spark):
+    """The same rows in other files and orders give the same fit."""
+    rows = _planted(spark)
+    found = []
+    for given in (rows, rows.repartition(7, "b")):
+        vectors = K.standardized_vectors(given, ["a", "b"], ["id", "y"])
+        model = K.best_kmeans(vectors, "id", [3], starts=2, parts=4)[3]
+        forest = C.fit_ensemble(given, ["a", "b"], "y", seeds=(1,), trees=5, depth=4, key="id", parts=4)
+        found.append((sorted(tuple(c.round(9)) for c in model.clusterCenters()), C.feature_importance(forest, spark).collect()))
+    assert found[0] == found[1]

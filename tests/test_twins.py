@@ -1,5 +1,7 @@
 """Every registered query with a SQL twin gives the twin's rows."""
 
+import re
+
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
@@ -14,16 +16,20 @@ def connection(small):
     return duck(small)
 
 
+MAY_BE_EMPTY: set[str] = set()
+
+
 # Supports of 100 rows per role leave these reports almost empty at the smallest
 # size, where some twins would compare two empty results.
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_matches_twin(spark, connection, small, name):
     found = difference(spark, connection, queries()[name], oracle_sql()[name], small)
-    assert found in (None, "both sides empty")
+    assert found is None or found == "both sides empty" and name in MAY_BE_EMPTY
 
 
 def test_every_query_without_twin_is_known():
-    assert set(queries()) - set(oracle_sql()) == MODEL_QUERIES | {"median_cut_approximate"}
+    optional = {name for name in queries() if name == "pipeline" or re.match(r"op\d+_", name)}
+    assert set(queries()) - set(oracle_sql()) - optional == MODEL_QUERIES | {"median_cut_approximate"}
     assert set(oracle_sql()) <= set(queries())
 
 
