@@ -89,6 +89,8 @@ def drop_boilerplate(docs: DataFrame, site: str = "source", spread: int = SPREAD
         "text_", "check_", F.explode(lines(F.col("text").cast("string"))).alias("line_")).select("text_", "check_", line_key(F.col("line_")).alias("line_"))
     removal = lines_of.join(bad, "line_").where("first_ IS NOT NULL").distinct().groupBy("text_", "check_").agg(
         F.map_from_entries(F.collect_list(F.struct("line_", "first_"))).alias("removal_"))
+    # Written, so that the join below may split a text that a third of the rows have.
+    removal = materialise(removal, "removal")
     columns = {name: f"column_{i}_" for i, name in enumerate(docs.columns)}
     renamed = docs.toDF(*columns.values()).withColumns({"text_": F.xxhash64(columns["text"]), "check_": F.xxhash64(F.lit(1), columns["text"])})
     joined = renamed.join(removal, ["text_", "check_"], "left")
