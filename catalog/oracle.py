@@ -275,6 +275,8 @@ ORACLE: dict[str, str] = {
         FROM lineitem) WHERE place = 1""",
     "clean_responses": with_(CLEAN, """SELECT "ResponseId", "DevType", "Country", "AISelect", "AIFrustration", "WorkExpNum", "YearsCodeNum" FROM cleaned"""),
     "fill_defaults": with_(CLEAN, """SELECT "ResponseId", "AISelect", "AIFrustration", "RemoteWork", "WorkExp" FROM cleaned"""),
+    "drop_incomplete_rows": with_(RESP, """SELECT "ResponseId", "AIAcc", "DevType", "WorkExp", "Country" FROM resp
+        WHERE "AIAcc" IS NOT NULL AND "DevType" IS NOT NULL AND "WorkExp" IS NOT NULL AND "Country" IS NOT NULL"""),
     "drop_incomplete": with_(RESP, """SELECT "ResponseId", "AIAcc", "DevType", "WorkExp" FROM resp WHERE "AIAcc" IS NOT NULL AND "DevType" IS NOT NULL"""),
     "numeric_parse": with_(RESP, """SELECT "ResponseId", TRY_CAST("WorkExp" AS DOUBLE) AS years FROM resp"""),
     "numeric_parse_edges": with_(CLEAN, """SELECT "ResponseId", "YearsCodeNum" AS years FROM cleaned"""),
