@@ -21,6 +21,8 @@ HEADLINE = [
     "clean_responses", "composite_score", "dedupe_by_key", "csv_roundtrip",
     "dataset_summary", "category_distribution", "usage_band_profile", "role_profile",
     "experience_profile", "quadrant_summary", "segment_profile",
+    "ordered_categories", "band_lines", "scatter_points", "quadrant_sizes", "quadrants_by_frustration",
+    "experience_lines", "density_points", "top_groups_detail", "filter_options", "filtered_quadrants",
     "median_cut_many_values", "hist2d_dense", "role_extremes", "country_work_modes", "headline_kpis",
     "filtered_kpis", "filtered_top_groups", "bounded_sample", "stratified_split", "pivot_counts",
     "classification_report", "roc_auc", "quality_report", "standardize", "silhouette_sampled",
