@@ -16,8 +16,10 @@ are cut at such places (word starts, mostly), and short parts are looked up once
 from __future__ import annotations
 
 import re
+from functools import cached_property
 from math import log
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -34,10 +36,12 @@ CHUNK = 1 << 16
 #: Chunks whose matrices one task multiplies.
 BLOCK = 256
 #: Parts up to this length are remembered, and so many of them.
-SHORT, MEMO = 48, 400_000
+SHORT, MEMO = 48, 250_000
 SCALE = 1 << 20
 NEVER = -(1 << 60)
-PRIME, BASE = (1 << 61) - 1, 1_000_003
+#: Base of the polynomial hash of ids, modulo 2 ** 64.
+BASE = 0x9E3779B97F4A7C15
+SLICE = 2 << 20
 
 
 class Vocabulary:
@@ -65,71 +69,131 @@ class Vocabulary:
         self.pieces = {self.texts[i]: (round(raw[i] * SCALE), i) for i in plain}
         self.unknown = round((min(raw.values()) - 10) * SCALE)
         self.bytes = [loaded.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
-        self.of_byte = {i: b for b, i in enumerate(self.bytes)}
-        #: Score of every piece, and None for prefixes of pieces that are no pieces.
-        self.prefixes = {t[:n]: None for t in self.pieces for n in range(1, len(t))} | {t: found[0] for t, found in self.pieces.items()}
+        #: What each id spells, and what it scores.
+        self.spelled = [b""] * size
+        self.scores = [self.unknown] * size
+        for i, text in self.texts.items():
+            self.spelled[i], self.scores[i] = text.encode(), self.pieces[text][0]
+        for b, i in enumerate(self.bytes):
+            self.spelled[i] = bytes([b])
         self.longest = max(map(len, self.pieces))
         self.pairs = {t[i : i + 2] for t in self.pieces for i in range(len(t) - 1)}
         inside = "".join(map(re.escape, (c for c in "\n\r\t" if all(c not in p for p in self.pairs))))
         spaced = not any(p[1] == " " and p[0] != " " for p in self.pairs)
         self.parts = re.compile(rf"[{inside}]| *[^ {inside}]+| +" if inside and spaced else r" *[^ ]+| +" if spaced else r"(?s).+")
 
-    def forward(self, text: str, start: int, end: int) -> tuple[list, list]:
-        """Best scores from ``start`` to every position, and the length of the last piece.
+    @cached_property
+    def matcher(self) -> ahocorasick.Automaton:
+        """Finds all pieces in a text; built where it is used."""
+        found = ahocorasick.Automaton()
+        for text, (score, i) in self.pieces.items():
+            found.add_word(text, (len(text), score, i))
+        found.make_automaton()
+        return found
+
+    @cached_property
+    def singles(self) -> frozenset:
+        return frozenset(text for text in self.pieces if len(text) == 1)
+
+    @cached_property
+    def strange(self) -> re.Pattern:
+        """Finds a character without a piece of its own."""
+        return re.compile("[^" + "".join(map(re.escape, sorted(self.singles))) + "]")
+
+    @cached_property
+    def memo(self) -> dict:
+        """Ids of short parts; lives as long as the worker."""
+        return {}
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k not in ("matcher", "singles", "strange", "memo")}
+
+    def forward(self, text: str, start: int, end: int) -> tuple[list, list, list]:
+        """Best scores from ``start`` to every position, length and id (-1: none) of the last piece.
 
         Pieces begin before ``end``; they may reach beyond it, up to the end of the text.
         """
-        known, nothing = self.prefixes.get, self  # a value that no score equals
-        stop = min(len(text), end + self.longest - 1)
-        best, back = [NEVER] * (stop - start + 1), [0] * (stop - start + 1)
+        text = text[start : min(len(text), end + self.longest - 1)]
+        size, limit = len(text), end - start
+        best, back, ids = [NEVER] * (size + 1), [0] * (size + 1), [-1] * (size + 1)
         best[0] = 0
-        for i in range(start, end):
-            here, single = best[i - start], False
-            for j in range(i + 1, stop + 1):
-                score = known(text[i:j], nothing)
-                if score is nothing:
-                    break
-                if score is not None:
-                    single |= j == i + 1
-                    # Equal scores: the longer last piece stays, as it came first.
-                    if here + score > best[j - start]:
-                        best[j - start], back[j - start] = here + score, j - i
-            if not single and here + self.unknown > best[i - start + 1]:
-                best[i - start + 1], back[i - start + 1] = here + self.unknown, 1
-        return best, back
-
-    def path(self, text: str, start: int, end: int, reach: int | None = None) -> tuple[int, list[int]]:
-        """Score and ids of the best path from ``start`` to ``reach`` (``end`` if not given)."""
-        best, back = self.forward(text, start, end)
-        place = (end if reach is None else reach) - start
-        score, ids = best[place], []
+        strange = [i for i, c in enumerate(text) if c not in self.singles] if not self.singles.issuperset(text) else []
+        strange.append(size)
+        at = 0
+        # By end, the longest piece first: of equal scores the longer last piece stays.
+        for last, (n, score, i) in self.matcher.iter(text):
+            while strange[at] < last and strange[at] < limit:
+                self._unknown(strange[at], best, back, ids)
+                at += 1
+            begin = last + 1 - n
+            if begin < limit:
+                score += best[begin]
+                if score > best[last + 1]:
+                    best[last + 1], back[last + 1], ids[last + 1] = score, n, i
+        for place in strange[at:-1]:
+            if place < limit:
+                self._unknown(place, best, back, ids)
+        return best, back, ids
+
+    def _unknown(self, place: int, best: list, back: list, ids: list) -> None:
+        if best[place] > NEVER and best[place] + self.unknown > best[place + 1]:
+            best[place + 1], back[place + 1], ids[place + 1] = best[place] + self.unknown, 1, -1
+
+    def path(self, text: str, start: int, end: int, reach: int | None = None) -> list[int]:
+        """Ids of the best path from ``start`` to ``reach`` (``end`` if not given)."""
+        _, back, last = self.forward(text, start, end)
+        place, ids = (end if reach is None else reach) - start, []
         while place:
-            n = back[place]
-            part = text[start + place - n : start + place]
-            found = self.pieces.get(part)
-            ids.extend([found[1]] if found else [self.bytes[b] for b in reversed(part.encode("utf-8", "surrogatepass"))])
-            place -= n
-        return score, ids[::-1]
-
-    def short(self, part: str, memo: dict) -> tuple[int, list[int]]:
-        found = memo.get(part)
+            if last[place] < 0:
+                ids.extend(self.bytes[b] for b in reversed(text[start + place - 1].encode("utf-8", "surrogatepass")))
+            else:
+                ids.append(last[place])
+            place -= back[place]
+        return ids[::-1]
+
+    def part(self, part: str) -> tuple[int, ...]:
+        """Ids of a part between two certain boundaries."""
+        found = self.memo.get(part)
         if found is None:
-            found = self.path(part, 0, len(part))
-            if len(part) <= SHORT and len(memo) < MEMO:
-                memo[part] = found
+            found = self.plain_path(part) if self.strange.search(part) is None else tuple(self.path(part, 0, len(part)))
+            if len(part) <= SHORT and len(self.memo) < MEMO:
+                self.memo[part] = found
         return found
 
-    def encode(self, text: str, memo: dict) -> list[int]:
-        """Ids of a whole text, which gets a space in front."""
+    def plain_path(self, part: str) -> tuple[int, ...]:
+        """As ``path``, for a whole part all of whose characters have a piece."""
+        place = len(part)
+        best, last = [NEVER] * (place + 1), [None] * (place + 1)
+        best[0] = 0
+        for end, piece in self.matcher.iter(part):
+            end += 1
+            score = best[end - piece[0]] + piece[1]
+            if score > best[end]:
+                best[end], last[end] = score, piece
+        ids = []
+        while place:
+            n, _, i = last[place]
+            ids.append(i)
+            place -= n
+        ids.reverse()
+        return tuple(ids)
+
+    def score(self, part: str) -> int:
+        return self.forward(part, 0, len(part))[0][-1] if self.strange.search(part) else sum(map(self.scores.__getitem__, self.part(part)))
+
+    def parts_ids(self, text: str) -> list[int]:
         ids: list[int] = []
-        if text:
-            for part in self.parts.findall(" " + text):
-                ids += self.short(part, memo)[1]
+        known, part_ids = self.memo.get, self.part
+        for part in self.parts.findall(text):
+            ids += known(part) or part_ids(part)
         return ids
 
+    def encode(self, text: str) -> list[int]:
+        """Ids of a whole text, which gets a space in front."""
+        return self.parts_ids(" " + text) if text else []
+
     def raw(self, ids: list[int]) -> bytes:
-        texts, of_byte = self.texts, self.of_byte
-        return b"".join(texts[i].encode("utf-8", "surrogatepass") if i in texts else bytes([of_byte[i]]) for i in ids)
+        return b"".join(map(self.spelled.__getitem__, ids))
 
     def decode(self, ids: list[int]) -> str:
         return self.raw(ids).decode("utf-8", "surrogatepass")[1:]
@@ -141,7 +205,7 @@ class Vocabulary:
         last = next((i for i in range(end - 1, first - 1, -1) if text[i - 1 : i + 1] not in pairs), end)
         return first, last
 
-    def matrix(self, text: str, size: int, memo: dict) -> np.ndarray:
+    def matrix(self, text: str, size: int) -> np.ndarray:
         """Best score from every entry to every exit state of a chunk of ``size`` characters.
 
         ``text`` also holds the characters after the chunk that a crossing piece can take.
@@ -151,7 +215,7 @@ class Vocabulary:
         first, last = self.cuts(text, 0, size)
         rows = {}
         if first < size:
-            middle = sum(self.short(part, memo)[0] for part in self.parts.findall(text[first:last]))
+            middle = sum(map(self.score, self.parts.findall(text[first:last])))
             tail = self.forward(text, last, size)[0]
             exits = {j: tail[size + j - last] for j in range(states) if size + j - last < len(tail)}
             for entry in range(min(states, first + 1)):
@@ -166,15 +230,12 @@ class Vocabulary:
                 found[entry, j] = v
         return found
 
-    def between(self, text: str, entry: int, size: int, leave: int, memo: dict) -> list[int]:
+    def between(self, text: str, entry: int, size: int, leave: int) -> list[int]:
         """Ids of a chunk's best path from one entry to one exit state."""
         first, last = self.cuts(text, 0, size)
         if first >= size or entry > first:
-            return self.path(text, entry, size, size + leave)[1]
-        ids = list(self.path(text[:first], entry, first)[1])
-        for part in self.parts.findall(text[first:last]):
-            ids += self.short(part, memo)[1]
-        return ids + self.path(text, last, size, size + leave)[1]
+            return self.path(text, entry, size, size + leave)
+        return self.path(text[:first], entry, first) + self.parts_ids(text[first:last]) + self.path(text, last, size, size + leave)
 
 
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -197,60 +258,82 @@ def states_between(matrices: list[np.ndarray], entry: int, leave: int) -> list[t
     return found[::-1]
 
 
+def powers(n: int) -> np.ndarray:
+    steps = np.full(n, BASE, np.uint64)
+    steps[:1] = 1
+    return np.cumprod(steps)
+
+
 def checksum(ids: list[int]) -> int:
-    """Polynomial hash, sum of (id + 1) * BASE ** position, which adds up over chunks."""
-    total = 0
-    for i in reversed(ids):
-        total = (total * BASE + i + 1) % PRIME
-    return total
+    """Sum of (id + 1) * BASE ** position modulo 2 ** 64, which adds up over chunks."""
+    values = np.array(ids, np.uint64) + np.uint64(1)
+    return int((values * powers(len(ids))).sum(dtype=np.uint64).astype(np.int64)) if ids else 0
 
 
-def _worker(held):
-    memo: dict = {}
-    return held.value, memo
+#: What is made of a text and its ids: the ids themselves, or counts and a hash.
+IDS = "ids array<int>, text string"
+DIGEST = "n_tokens long, ids_hash long, round_trip boolean"
 
 
-def encode(docs: DataFrame, model: str = MODEL, chunk: int = CHUNK) -> DataFrame:
-    """(doc_id, row, chunk, n_chunks, ids, text): one row per text, one per chunk of a giant text.
+def _ids(vocabulary: Vocabulary, ids: list, texts: list) -> list[pa.Array]:
+    return [pa.array(ids, pa.list_(pa.int32())), pa.array(texts, pa.string())]
 
-    ``row`` tells rows with equal doc_ids apart, ``text`` is what the ids stand for, with one
-    space in front of the document.  Null texts have null ids and text, empty ones no ids.  Other
-    columns are ignored.
-    """
+
+def _digests(vocabulary: Vocabulary, ids: list, texts: list) -> list[pa.Array]:
+    same = [vocabulary.raw(i or []) == (t or "").encode("utf-8", "surrogatepass") for i, t in zip(ids, texts)]
+    return [pa.array([len(i or []) for i in ids], pa.int64()), pa.array([checksum(i or []) for i in ids], pa.int64()), pa.array(same, pa.bool_())]
+
+
+def _encoded(docs: DataFrame, model: str, chunk: int, finish, result: str) -> tuple[DataFrame, DataFrame]:
+    """Texts encoded whole, and the chunks of giant ones."""
     spark = docs.sparkSession
     vocabulary = Vocabulary(model)
-    held = spark.sparkContext.broadcast(vocabulary)
-    kind = dict(docs.dtypes)["doc_id"]
+    held = spark.sparkContext.broadcast(vocabulary)  # one vocabulary, some MB whatever the input
+    head = f"doc_id {dict(docs.dtypes)['doc_id']}, row string, chunk int, n_chunks int"
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     giant = F.coalesce(F.char_length("text"), F.lit(0)) > chunk
-    whole = rows.where(~giant).mapInArrow(_encode_whole(held), f"doc_id {kind}, row string, chunk int, n_chunks int, ids array<int>, text string")
-    # Giant texts are written once as chunks, so that the passes below deal them out evenly and agree.
-    chunks = materialise(rows.where(giant).mapInArrow(_cut(chunk, vocabulary.longest), f"doc_id {kind}, row string, chunk int, n_chunks int, size int, text string"), "chunks")
+    whole = rows.where(~giant).mapInArrow(_encode_whole(held, finish, result), f"{head}, {result}")
+    # Giant texts are written once as chunks, so that the passes below agree on them.
+    chunks = materialise(rows.where(giant).mapInArrow(_cut(chunk, vocabulary.longest), f"{head}, size int, text string"), "chunks")
     matrices = materialise(chunks.select("row", "chunk", "n_chunks", "size", "text").mapInArrow(_matrices(held), "row string, block int, chunk int, matrix binary"), "matrices")
     products = matrices.groupBy("row", "block").applyInPandas(_block_product, "row string, block int, matrix binary")
     blocks = products.groupBy("row").applyInPandas(_block_states, "row string, block int, entry int, leave int")
     states = matrices.join(blocks, ["row", "block"]).groupBy("row", "block").applyInPandas(_chunk_states, "row string, chunk int, entry int, leave int")
     parts = chunks.join(states, ["row", "chunk"]).select("doc_id", "row", "chunk", "n_chunks", "size", "text", "entry", "leave").mapInArrow(
-        _backtrace(held), f"doc_id {kind}, row string, chunk int, n_chunks int, ids array<int>, text string")
+        _backtrace(held, finish, result), f"{head}, {result}")
+    return whole, parts
+
+
+def encode(docs: DataFrame, model: str = MODEL, chunk: int = CHUNK) -> DataFrame:
+    """(doc_id, row, chunk, n_chunks, ids, text): one row per text, one per chunk of a giant text.
+
+    ``row`` tells rows with equal doc_ids apart, ``text`` is what the ids stand for, with one
+    space in front of the document.  Null texts have null ids and text, empty ones no ids.  Other
+    columns are ignored.
+    """
+    whole, parts = _encoded(docs, model, chunk, _ids, IDS)
     return whole.unionByName(parts)
 
 
-def _batch(batch: pa.RecordBatch, names: list[str], columns: list) -> pa.RecordBatch:
-    kinds = {"chunk": pa.int32(), "n_chunks": pa.int32(), "ids": pa.list_(pa.int32()), "text": pa.string(), "row": pa.string(), "matrix": pa.binary(), "block": pa.int32(), "size": pa.int32()}
+def _batch(names: list[str], columns: list) -> pa.RecordBatch:
+    kinds = {"chunk": pa.int32(), "n_chunks": pa.int32(), "text": pa.string(), "row": pa.string(), "matrix": pa.binary(), "block": pa.int32(), "size": pa.int32()}
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, kinds[n]) for n, c in zip(names, columns)], names=names)
 
 
-def _encode_whole(held):
+def _names(result: str) -> list[str]:
+    return ["doc_id", "row", "chunk", "n_chunks", *(field.split()[0] for field in result.split(", "))]
+
+
+def _encode_whole(held, finish, result):
     def run(batches):
-        vocabulary, memo = _worker(held)
+        vocabulary, names = held.value, _names(result)
         task, seen = TaskContext.get().partitionId(), 0
-        for batch in small_slices(batches):
+        for batch in small_slices(batches, limit=SLICE):
             texts = batch.column(1).to_pylist()
-            ids = [None if t is None else vocabulary.encode(t, memo) for t in texts]
-            names = [f"w{task}-{seen + i}" for i in range(len(texts))]
+            ids = [None if t is None else vocabulary.encode(t) for t in texts]
+            rows = [f"w{task}-{seen + i}" for i in range(len(texts))]
             seen += len(texts)
-            shown = [t and f" {t}" for t in texts]
-            yield _batch(batch, ["doc_id", "row", "chunk", "n_chunks", "ids", "text"], [batch.column(0), names, [0] * len(texts), [1] * len(texts), ids, shown])
+            yield _batch(names, [batch.column(0), rows, [0] * len(texts), [1] * len(texts), *finish(vocabulary, ids, [t and f" {t}" for t in texts])])
 
     return run
 
@@ -266,7 +349,7 @@ def _cut(chunk: int, longest: int):
                 ends = [*starts[1:], len(text)]
                 n = len(starts)
                 columns = [pa.array([doc.as_py()] * n, doc.type), [f"g{task}-{seen}"] * n, list(range(n)), [n] * n, [e - s for s, e in zip(starts, ends)], [text[s : e + longest - 1] for s, e in zip(starts, ends)]]
-                yield _batch(batch, ["doc_id", "row", "chunk", "n_chunks", "size", "text"], columns)
+                yield _batch(["doc_id", "row", "chunk", "n_chunks", "size", "text"], columns)
                 seen += 1
 
     return run
@@ -274,11 +357,11 @@ def _cut(chunk: int, longest: int):
 
 def _matrices(held):
     def run(batches):
-        vocabulary, memo = _worker(held)
-        for batch in small_slices(batches):
+        vocabulary = held.value
+        for batch in small_slices(batches, limit=SLICE):
             rows, chunks, _, sizes, texts = (c.to_pylist() for c in batch.columns)
-            found = [vocabulary.matrix(t, s, memo).tobytes() for t, s in zip(texts, sizes)]
-            yield _batch(batch, ["row", "block", "chunk", "matrix"], [rows, [c // BLOCK for c in chunks], chunks, found])
+            found = [vocabulary.matrix(t, s).tobytes() for t, s in zip(texts, sizes)]
+            yield _batch(["row", "block", "chunk", "matrix"], [rows, [c // BLOCK for c in chunks], chunks, found])
 
     return run
 
@@ -309,15 +392,15 @@ def _chunk_states(pdf):
     return pdf[["row", "chunk"]].assign(entry=[e for e, _ in found], leave=[x for _, x in found])
 
 
-def _backtrace(held):
+def _backtrace(held, finish, result):
     def run(batches):
-        vocabulary, memo = _worker(held)
-        for batch in small_slices(batches):
+        vocabulary, names = held.value, _names(result)
+        for batch in small_slices(batches, limit=SLICE):
             ids, shown = [], []
             for size, text, entry, leave in zip(*(batch.column(i).to_pylist() for i in (4, 5, 6, 7))):
-                ids.append(vocabulary.between(text, entry, size, leave, memo))
+                ids.append(vocabulary.between(text, entry, size, leave))
                 shown.append(text[entry : size + leave])
-            yield _batch(batch, ["doc_id", "row", "chunk", "n_chunks", "ids", "text"], [*batch.columns[:4], ids, shown])
+            yield _batch(names, [*batch.columns[:4], *finish(vocabulary, ids, shown)])
 
     return run
 
@@ -332,12 +415,12 @@ def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
 
     def run(batches):
         vocabulary = held.value
-        for batch in batches:
+        for batch in small_slices(batches, "ids", SLICE):
             texts = []
             for chunk, ids in zip(batch.column(2).to_pylist(), batch.column(4).to_pylist()):
                 text = None if ids is None else vocabulary.raw(ids).decode("utf-8", "surrogatepass")
                 texts.append(text[1:] if text and chunk == 0 else text)
-            yield _batch(batch, ["doc_id", "row", "chunk", "n_chunks", "text"], [*batch.columns[:4], texts])
+            yield _batch(["doc_id", "row", "chunk", "n_chunks", "text"], [*batch.columns[:4], texts])
 
     return encoded.select("doc_id", "row", "chunk", "n_chunks", "ids").mapInArrow(run, f"doc_id {kind}, row string, chunk int, n_chunks int, text string")
 
@@ -347,21 +430,10 @@ def encoding_digests(docs: DataFrame, model: str = MODEL, chunk: int = CHUNK) ->
 
     Counts and hashes are formed per chunk and added up, so no row ever holds a giant document's ids.
     """
-    encoded = encode(docs, model, chunk)
-    held = encoded.sparkSession.sparkContext.broadcast(Vocabulary(model))
-    kind = dict(encoded.dtypes)["doc_id"]
-
-    def run(batches):
-        vocabulary = held.value
-        for batch in batches:
-            all_ids, texts = batch.column(4).to_pylist(), batch.column(5).to_pylist()
-            same = [vocabulary.raw(i or []) == (t or "").encode("utf-8", "surrogatepass") for i, t in zip(all_ids, texts)]
-            columns = [*batch.columns[:4], pa.array([len(i or []) for i in all_ids], pa.int64()), pa.array([checksum(i or []) for i in all_ids], pa.int64()), pa.array(same, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row", "chunk", "n_chunks", "n_tokens", "ids_hash", "round_trip"])
-
-    parts = encoded.mapInArrow(run, f"doc_id {kind}, row string, chunk int, n_chunks int, n_tokens long, ids_hash long, round_trip boolean")
-    whole = parts.where("n_chunks = 1").select("doc_id", "n_tokens", F.lit(1).alias("n_chunks"), "ids_hash", "round_trip")
-    pieces = parts.where("n_chunks > 1").groupBy("row", "doc_id").applyInPandas(_joined_hash, f"doc_id {kind}, n_tokens long, n_chunks int, ids_hash long, round_trip boolean")
+    whole, parts = _encoded(docs, model, chunk, _digests, DIGEST)
+    whole = whole.select("doc_id", "n_tokens", "n_chunks", "ids_hash", "round_trip")
+    kind = dict(parts.dtypes)["doc_id"]
+    pieces = parts.groupBy("row", "doc_id").applyInPandas(_joined_hash, f"doc_id {kind}, n_tokens long, n_chunks int, ids_hash long, round_trip boolean")
     return whole.unionByName(pieces)
 
 
@@ -369,7 +441,8 @@ def _joined_hash(pdf):
     pdf = pdf.sort_values("chunk")
     total = place = 0
     for n, h in zip(pdf["n_tokens"], pdf["ids_hash"]):
-        total = (total + int(h) * pow(BASE, place, PRIME)) % PRIME
+        total = (total + int(h) * pow(BASE, place, 1 << 64)) % (1 << 64)
         place += int(n)
     complete = len(pdf) == int(pdf["n_chunks"].iloc[0])
-    return pdf.head(1)[["doc_id"]].assign(n_tokens=place, n_chunks=len(pdf), ids_hash=total, round_trip=bool(pdf["round_trip"].all() and complete))
+    signed = total - (1 << 64) if total >> 63 else total
+    return pdf.head(1)[["doc_id"]].assign(n_tokens=place, n_chunks=len(pdf), ids_hash=signed, round_trip=bool(pdf["round_trip"].all() and complete))
