@@ -181,9 +181,10 @@ class Evidence:
 
 def fit_counts(rows: DataFrame, min_share: float = MIN_SHARE) -> Evidence:
     """The two models from all training rows; what reaches the driver is bounded by the share rule."""
-    grams = ngram_counts(word_counts(rows))
-    totals = grams.agg(F.sum("ordinary").alias("all_ordinary"), F.sum("toxic").alias("all_toxic"))
-    kept = grams.join(F.broadcast(totals)).where("ordinary >= {0} * all_ordinary AND ordinary > 0 OR toxic >= {0} * all_toxic AND toxic > 0".format(min_share))
+    grams = materialise(ngram_counts(word_counts(rows)), "grams")
+    ordinary, toxic = grams.agg(F.sum("ordinary"), F.sum("toxic")).first()
+    enough = (F.col("ordinary") >= min_share * (ordinary or 0)) & (F.col("ordinary") > 0)
+    kept = grams.where(enough | (F.col("toxic") >= min_share * (toxic or 0)) & (F.col("toxic") > 0))
     table = kept.select("gram", "ordinary", "toxic").toArrow()
     return Evidence(*(table.column(n).to_pylist() for n in ("gram", "ordinary", "toxic")))
 
