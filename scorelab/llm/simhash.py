@@ -15,6 +15,7 @@ own hash which variants fall to it.
 from __future__ import annotations
 
 from functools import cache, partial
+from math import ceil
 
 import numpy as np
 import pandas as pd
@@ -32,8 +33,12 @@ SEED = 42
 WORDS = 4
 #: Fingerprints whose variants one task spells out at a time.
 MEMBERS = 2048
-#: Fingerprints per text that propose pairs for a similarity of shingles.
-TABLES = 3
+#: Shingles in so many texts of a slice are ordered last, the most frequent ones of all slices at most so many.
+OFTEN, COMMON = 3, 1_000_000
+#: Rounds that compare each text with one head before all remaining pairs are listed.
+ROUNDS = 2
+#: Pairs held before they are handed on.
+PAIRS = 1 << 17
 #: Shingles whose bits are counted at a time.
 STEP = 1 << 15
 
@@ -174,78 +179,188 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, distance: int = DISTANC
     return marked.join(named, "fp").select("doc_id", "fp", "root", "component_id")
 
 
-def word_set_fingerprints(text: str | None, tables: int) -> list[int]:
-    """One fingerprint per table over the distinct words, each with a hash seed of its own."""
-    words = list(set((text or "").encode("utf-8", "surrogatepass").lower().split()))
-    digest, found = xxhash.xxh64_intdigest, []
-    for table in range(tables):
-        counts = np.zeros(BITS, np.int64)
-        for at in range(0, len(words), STEP):
-            hashes = np.array([digest(w, SEED + table) for w in words[at : at + STEP]], "<u8")
-            counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-        found.append(int(np.packbits(counts * 2 > len(words), bitorder="little").view("<i8")[0]))
-    return found
+def shingle_hashes(text: str | None, words: int) -> np.ndarray:
+    """Sorted distinct hashes of the runs of so many words; of the whole text if it has fewer."""
+    data = (text or "").lower().split()
+    if not data:
+        return np.array([], np.uint64)
+    of_word = {w: xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), SEED) for w in set(data)}
+    marks, n = np.fromiter(map(of_word.__getitem__, data), np.uint64, len(data)), max(1, len(data) - words + 1)
+    found = np.zeros(n, np.uint64)
+    for i in range(min(words, len(data))):
+        found = found * np.uint64(0x9E3779B97F4A7C15) + marks[i : i + n]
+    found = (found ^ found >> np.uint64(33)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return np.unique(found ^ found >> np.uint64(29))
+
+
+def distinct_texts(batches):
+    """Lists of (node, text) per slice, every node once in a task, so that copies cost no more than one."""
+    seen: set = set()
+    for batch in small_slices(batches):
+        fresh = [(n, t) for n, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if not (n in seen or seen.add(n))]
+        if fresh:
+            yield fresh
+
+
+def common_shingles(noded: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that many texts have, sorted, and their ranks from rare to frequent.
+
+    They only decide which order the prefixes follow.  Every order finds the same pairs, so what
+    a slice of texts misses or what lies beyond ``COMMON`` costs time and loses nothing.
+    """
+    def run(batches):
+        for rows in distinct_texts(batches):
+            values, counts = np.unique(np.concatenate([shingle_hashes(t, words) for _, t in rows]), return_counts=True)
+            often = counts >= OFTEN
+            yield pa.RecordBatch.from_arrays([pa.array(values[often].view(np.int64)), pa.array(counts[often].astype(np.int64))], names=["token", "n"])
 
+    found = noded.select("node", "text").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    table = found.orderBy(F.desc("n"), "token").limit(COMMON).toArrow()  # at most COMMON pairs of numbers
+    values = table.column("token").to_numpy().view(np.uint64)
+    order = np.argsort(values)
+    return values[order], (len(values) - order).astype(np.int64)
 
-def shingles(text: str | None, words: int) -> set:
-    """Hashes of the runs of so many words; the whole text if it has fewer."""
-    data = (text or "").lower().split()
-    return {hash(tuple(data[i : i + words])) for i in range(max(1, len(data) - words + 1))} if data else set()
+
+def prefix_of(hashes: np.ndarray, common: tuple[np.ndarray, np.ndarray], similarity: float) -> np.ndarray:
+    """The first shingles in the global order, so many that two similar sets have one of them in common."""
+    values, ranks = common
+    if len(values) and len(hashes):
+        at = np.minimum(np.searchsorted(values, hashes), len(values) - 1)
+        hit = values[at] == hashes
+        hashes = np.concatenate([hashes[~hit], hashes[hit][np.argsort(ranks[at[hit]], kind="stable")]])
+    return hashes[: len(hashes) - ceil(similarity * len(hashes) - 1e-9) + 1]
+
+
+def prefixes(noded: DataFrame, words: int, similarity: float) -> DataFrame:
+    """(token, node, size, place): the prefix shingles of every text.  Texts without words share token 0."""
+    held = noded.sparkSession.sparkContext.broadcast(common_shingles(noded, words))
+
+    def run(batches):
+        for rows in distinct_texts(batches):
+            sets = [shingle_hashes(t, words) for _, t in rows]
+            heads = [prefix_of(s, held.value, similarity) if len(s) else np.zeros(1, np.uint64) for s in sets]
+            lengths = np.array([len(h) for h in heads])
+            columns = [np.concatenate(heads).view(np.int64), np.repeat(np.array([n for n, _ in rows], np.int64), lengths),
+                       np.repeat(np.array([len(s) for s in sets], np.int32), lengths), np.concatenate([np.arange(n, dtype=np.int32) for n in lengths])]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "node", "size", "place"])
+
+    return noded.select("node", "text").mapInArrow(run, "token long, node long, size int, place int")
+
+
+def whole_groups(batches):
+    """Columns of batches sorted by their first one, cut where its value changes."""
+    held: list = []
+    for batch in batches:
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        if not len(columns[0]):
+            continue
+        cut = int(np.searchsorted(columns[0], columns[0][-1]))
+        if cut or held and held[0][0][-1] != columns[0][0]:
+            done = [*held, [c[:cut] for c in columns]]
+            yield [np.concatenate(c) for c in zip(*done)]
+            held = []
+        held.append([c[cut:] for c in columns])
+    if held:
+        yield [np.concatenate(c) for c in zip(*held)]
+
+
+def crowds(tokens: DataFrame) -> DataFrame:
+    """The rows of tokens that two nodes or more have, each node once."""
+    def run(batches):
+        for columns in whole_groups(batches):
+            token, node = columns[:2]
+            fresh = np.ones(len(token), bool)
+            fresh[1:] = (token[1:] != token[:-1]) | (node[1:] != node[:-1])
+            columns = [c[fresh] for c in columns]
+            same = columns[0][1:] == columns[0][:-1]
+            shared = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+            yield pa.RecordBatch.from_arrays([pa.array(c[shared]) for c in columns], names=["token", "node", "size", "place"])
+
+    return tokens.repartition("token").sortWithinPartitions("token", "node").mapInArrow(run, tokens.schema)
+
+
+def pairs_across(rows: DataFrame, similarity: float) -> DataFrame:
+    """(u, v) of all nodes of different roots that have a token in common and can be similar.
+
+    Sizes bound the similarity, and so does what follows the first common token in either set.
+    """
+    def run(batches):
+        for token, size, node, place, root in whole_groups(batches):
+            left = np.arange(len(token) - 1)
+            step, held, n = 1, [], 0
+            while len(left):
+                left = left[left + step < len(token)]
+                right = left + step
+                near = (token[left] == token[right]) & (size[left] >= similarity * size[right] - 1e-9)
+                left, right = left[near], right[near]
+                most = np.minimum(size[left] - place[left], size[right] - place[right])
+                kept = (root[left] != root[right]) & (most * (1 + similarity) >= similarity * (size[left].astype(np.int64) + size[right]) - 1e-6)
+                held.append(np.column_stack([np.maximum(node[left[kept]], node[right[kept]]), np.minimum(node[left[kept]], node[right[kept]])]))
+                n, step = n + len(held[-1]), step + 1
+                if n >= PAIRS or not len(left):
+                    found = np.unique(np.concatenate(held), axis=0)
+                    yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["u", "v"])
+                    held, n = [], 0
+
+    rows = rows.select("token", "size", "node", "place", "root").repartition("token").sortWithinPartitions("token", "size", "node")
+    return rows.mapInArrow(run, "u long, v long").distinct()
 
 
 def similar(pairs: DataFrame, words: int, similarity: float) -> DataFrame:
     """(u, v) of the rows (u, v, a, b) whose texts a and b share enough of their shingles."""
     def run(batches):
-        held, own = None, set()
+        held, own = None, np.array([], np.uint64)
         for batch in small_slices(batches, "b"):
             keep = []
             for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 if held is None or a != held:
-                    held, own = a, shingles(a, words)
-                other = shingles(b, words)
-                keep.append(len(own & other) >= similarity * len(own | other))
+                    held, own = a, shingle_hashes(a, words)
+                other = shingle_hashes(b, words)
+                both = len(np.intersect1d(own, other, assume_unique=True))
+                keep.append(both >= similarity * (len(own) + len(other) - both))
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
 
 
-def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, tables: int = TABLES, distance: int = DISTANCE) -> DataFrame:
+def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """(doc_id, node, root, component_id) as ``near_duplicates`` gives, for similarity of word shingles.
 
-    Texts with ``similarity`` of their shingles in common differ in few words, so fingerprints
-    of their word sets are few bits apart; several tables of ball hashing propose pairs, and
-    each pair's whole texts are compared.  In a crowd of variants every member is compared with
-    the smallest, never all with all.  Copies are one node, the hash of the text.
+    An exact join: in any one order of all shingles, two sets with ``similarity`` in common share one
+    of their first few, here the rare ones first.  Copies are one node, the hash of the text.
+    Some rounds compare each node with one head of its crowds and contract what is similar; then all
+    pairs that share a prefix shingle, can reach the similarity by their sizes and places and
+    are not yet in one component are compared by their whole texts.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-
-    def marks(batches):
-        for batch in small_slices(batches):
-            found = [word_set_fingerprints(t, tables) for t in batch.column(2).to_pylist()]
-            columns = [batch.column(0), batch.column(1), *(pa.array([f[t] for f in found], pa.int64()) for t in range(tables))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "node", *(f"fp{t}" for t in range(tables))])
-
-    names = ", ".join(f"fp{t} long" for t in range(tables))
     noded = docs.select("doc_id", F.xxhash64(text).alias("node"), text.alias("text"))
-    marked = materialise(noded.mapInArrow(marks, f"doc_id {dict(docs.dtypes)['doc_id']}, node long, {names}"), "marks")
-    nodes = materialise(marked.groupBy("node").agg(F.min("doc_id").alias("first"), *(F.first(f"fp{t}").alias(f"fp{t}") for t in range(tables))), "nodes")
-    edges = None
-    for t in range(tables):
-        own = nodes.select("node", F.col(f"fp{t}").alias("fp"))
-        heads = materialise(own.groupBy("fp").agg(F.min("node").alias("head")), "heads")
-        linked = links(heads.select("fp"), distance)
-        across = linked.join(heads.select(F.col("fp").alias("u"), F.col("head").alias("a")), "u").join(heads.select(F.col("fp").alias("v"), F.col("head").alias("b")), "v").select("a", "b")
-        found = own.join(heads, "fp").select(F.col("node").alias("a"), F.col("head").alias("b")).unionAll(across).where("a <> b")
-        edges = found if edges is None else edges.unionAll(found)
-    edges = materialise(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "candidates")
+    marked = materialise(noded.select("doc_id", "node"), "marks")
+    nodes = materialise(marked.groupBy("node").agg(F.min("doc_id").alias("first")), "nodes")
+    rows = materialise(crowds(prefixes(noded, words, similarity)), "crowds")
     # Texts of candidates only, each once.
-    wanted = edges.select(F.col("u").alias("node")).unionAll(edges.select(F.col("v").alias("node"))).distinct()
+    wanted = rows.select("node").distinct()
     texts = materialise(noded.select("node", "text").join(wanted, "node", "left_semi").dropDuplicates(["node"]), "texts")
-    pairs = edges.join(texts.select(F.col("node").alias("u"), F.col("text").alias("b")), "u").join(texts.select(F.col("node").alias("v"), F.col("text").alias("a")), "v")
-    roots = connected(similar(pairs, words, similarity))
+
+    def verified(edges):
+        pairs = edges.join(texts.select(F.col("node").alias("u"), F.col("text").alias("b")), "u").join(texts.select(F.col("node").alias("v"), F.col("text").alias("a")), "v")
+        return materialise(similar(pairs, words, similarity), "links")
+
+    rows, linked, roots = rows.withColumn("root", F.col("node")), None, None
+    for turn in range(ROUNDS):
+        draw = F.xxhash64("node", F.lit(turn)).alias("draw")
+        heads = rows.groupBy("token").agg(F.min(F.struct(draw, "node", "root", "size")).alias("head"))
+        tried = rows.join(heads, "token").where("root <> head.root").where(F.least("size", "head.size") >= similarity * F.greatest("size", "head.size") - 1e-9)
+        edges = materialise(tried.groupBy("node").agg(F.min("head").alias("head")).select(F.greatest("node", "head.node").alias("u"), F.least("node", "head.node").alias("v")).distinct(), "candidates")
+        linked = verified(edges) if linked is None else linked.unionAll(verified(edges))
+        roots = connected(linked)
+        rooted = rows.drop("root").join(roots.withColumnRenamed("u", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        apart = rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("token")
+        rows = materialise(rooted.join(apart, "token", "left_semi").select("token", "node", "size", "place", "root"), "crowds")
+    edges = materialise(pairs_across(rows, similarity), "candidates")
+    roots = connected(linked.unionAll(verified(edges)))
     rooted = nodes.join(roots.withColumnRenamed("u", "node"), "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return marked.select("doc_id", "node").join(rooted.join(least, "root").select("node", "root", "component_id"), "node").select("doc_id", "node", "root", "component_id")
+    return marked.join(rooted.join(least, "root").select("node", "root", "component_id"), "node").select("doc_id", "node", "root", "component_id")
 
 
 def keep_one(docs: DataFrame, **how) -> DataFrame:

@@ -93,6 +93,47 @@ def test_near_copies_by_shingles(spark):
     assert all(found[200 + i] == 200 + i for i in range(30))
 
 
+def brute_similar(texts, words=5, similarity=0.8):
+    """Smallest index reachable over pairs with so many shingles in common."""
+    sets = [{tuple(t[i : i + words]) for i in range(max(1, len(t) - words + 1))} for t in map(str.split, texts)]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if root[i] != root[j] and len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]):
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    return root
+
+
+def test_near_copies_with_passages_and_moved_parts(spark):
+    """Appended, replaced and moved passages, and a crowd whose members are alike only among themselves."""
+    rng = np.random.default_rng(5)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    draw = lambda n: rng.choice(vocabulary, n).tolist()
+    texts = []
+    for base, more in [(200, 45), (200, 20), (400, 90), (1000, 200), (30, 6)]:
+        for _ in range(8):
+            words = draw(base)
+            texts += [words, words + draw(more)]
+    for base, cut in [(200, 16), (1000, 80)]:
+        for _ in range(8):
+            words = draw(base)
+            texts += [words, words[:50] + draw(cut) + words[50 + cut :]]
+    for _ in range(6):  # all of one word set; only the last two are similar
+        parts = [draw(10) for _ in range(20)]
+        words = sum(parts, [])
+        texts += [sum((parts[i] for i in rng.permutation(20)), []) for _ in range(4)] + [words, [words[1], words[0], *words[2:]]]
+    crowd = draw(120)
+    for _ in range(60):
+        words = list(crowd)
+        for p in rng.integers(0, 120, 4):
+            words[p] = str(rng.choice(vocabulary))
+        texts.append(words)
+    texts = [" ".join(t) for t in texts]
+    found = {r.doc_id: r.component_id for r in simhash.near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)).collect()}
+    assert [found[i] for i in range(len(texts))] == brute_similar(texts)
+
+
 def test_odd_rows(odd, odd_rows, none):
     found = simhash.near_duplicates(odd).collect()
     assert len(found) == len(odd_rows)
