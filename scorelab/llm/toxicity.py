@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
+from functools import cached_property
 from math import exp, log
 
 import numpy as np
@@ -21,12 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scorelab.llm.common import fold, map_texts, small_slices
+from scorelab.llm.common import fold, small_slices
 from scorelab.session import materialise
 
 ORDER = 5
-#: An n-gram is kept when it makes up this share of either class: a million of them at most.
-MIN_SHARE = 2e-6
 DISCOUNT = 0.75
 #: Bounds in nats beyond which a word's evidence counts once more, and words of no evidence added to every length.
 BOUNDS, PRIOR = (2.0, 4.0), 10
@@ -35,7 +34,8 @@ BROADCAST_LABELS = 2_000_000
 #: Labelled rows the logistic curve is fitted on.
 CURVE_ROWS = 20_000
 PENDING = 500_000
-MEMO = 400_000
+#: Most frequent words whose evidence every task holds; that of all others is joined.
+HEAD_WORDS = 200_000
 
 WORD = re.compile(r"[^\W\d_]+")
 PAD = "#" * (ORDER - 1)
@@ -124,9 +124,9 @@ def lower_orders(grams: list[str]) -> list[dict]:
 
 
 class Evidence:
-    """Log-likelihood ratio, toxic over ordinary, of every kept n-gram and every known context.
+    """Log-likelihood ratio, toxic over ordinary, of every n-gram and every known context, in memory.
 
-    The shared lower order cancels where neither class has the n-gram, so an unseen one needs
+    For single texts and as the reference of ``gram_evidence``, which does the same in Spark.  The shared lower order cancels where neither class has the n-gram, so an unseen one needs
     only its context's two back-off weights.
     """
 
@@ -169,35 +169,103 @@ class Evidence:
             return (0.0,) * (1 + len(BOUNDS))
         values = []
         for word in sequence:
-            value = memo.get(word)
-            if value is None:
-                value = self.word(word)
-                if len(memo) < MEMO:
-                    memo[word] = value
-            values.append(value)
+            if word not in memo:
+                memo[word] = self.word(word)
+            values.append(memo[word])
         values, n = np.array(values), len(values) + PRIOR
         return float(values.sum()) / n, *(float(np.maximum(values - bound, 0).sum()) / n for bound in BOUNDS)
 
 
-def fit_counts(rows: DataFrame, min_share: float = MIN_SHARE) -> Evidence:
-    """The two models from all training rows; what reaches the driver is bounded by the share rule."""
-    grams = materialise(ngram_counts(word_counts(rows)), "grams")
-    ordinary, toxic = grams.agg(F.sum("ordinary"), F.sum("toxic")).first()
-    enough = (F.col("ordinary") >= min_share * (ordinary or 0)) & (F.col("ordinary") > 0)
-    kept = grams.where(enough | (F.col("toxic") >= min_share * (toxic or 0)) & (F.col("toxic") > 0))
-    table = kept.select("gram", "ordinary", "toxic").toArrow()
-    return Evidence(*(table.column(n).to_pylist() for n in ("gram", "ordinary", "toxic")))
+def continuation(grams: DataFrame) -> DataFrame:
+    """(gram, lower): ``lower_orders`` in Spark, its last table."""
+    levels, above = [], grams.select("gram")
+    for order in range(ORDER - 1, 0, -1):
+        above = materialise(above.groupBy(F.substring("gram", 2, order).alias("gram")).agg(F.count("*").alias("n")), "continuation")
+        levels.append((order, above))
+    table = None
+    for order, level in reversed(levels):
+        level = level.withColumn("context", F.substring("gram", 1, order - 1))
+        level = level.join(level.groupBy("context").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")), "context")
+        if table is None:
+            lower = F.lit(1.0) / (F.col("kinds") + 1)
+        else:
+            level = level.withColumn("suffix", F.substring("gram", 2, order - 1)).join(table.withColumnRenamed("gram", "suffix"), "suffix")
+            lower = F.col("lower")
+        table = level.select("gram", ((F.col("n") - DISCOUNT + F.lit(DISCOUNT) * F.col("kinds") * lower) / F.col("total")).alias("lower"))
+    return table
+
+
+def gram_evidence(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(gram, value) of all n-grams and (context, value) of all contexts: ``Evidence`` as written tables."""
+    sizes = [x or 0 for x in grams.agg(F.sum("ordinary"), F.sum("toxic")).first()]
+    scales = [min(sizes) / size if min(sizes) else 1.0 for size in sizes]
+    scaled = grams.select("gram", F.substring("gram", 1, ORDER - 1).alias("context"), F.substring("gram", 2, ORDER - 1).alias("suffix"),
+                          *((F.col(name) * F.lit(scale)).alias(f"c{k}") for k, (name, scale) in enumerate(zip(("ordinary", "toxic"), scales))))
+    contexts = scaled.groupBy("context").agg(*(F.sum(f"c{k}").alias(f"total{k}") for k in (0, 1)), *(F.sum(F.least(f"c{k}", F.lit(DISCOUNT))).alias(f"freed{k}") for k in (0, 1)))
+    contexts = materialise(contexts.select("context", "total0", "total1", *(F.when(F.col(f"total{k}") > 0, F.col(f"freed{k}") / F.col(f"total{k}")).otherwise(1.0).alias(f"weight{k}") for k in (0, 1))), "contexts")
+
+    def logs(k):
+        own = F.when(F.col(f"total{k}") > 0, F.greatest(F.col(f"c{k}") - DISCOUNT, F.lit(0.0)) / F.col(f"total{k}")).otherwise(0.0)
+        return F.log(own + F.col(f"weight{k}") * F.col("lower"))
+
+    known = scaled.join(contexts, "context").join(continuation(grams).withColumnRenamed("gram", "suffix"), "suffix")
+    values = materialise(known.select("gram", (logs(1) - logs(0)).alias("value")), "gram-values")
+    return values, contexts.select("context", (F.log("weight1") - F.log("weight0")).alias("value"))
+
+
+def word_values(words: DataFrame, tables: tuple[DataFrame, DataFrame]) -> DataFrame:
+    """(word, n, value): the evidence of each of the words (word, n); unseen n-grams count by their contexts."""
+    grams, contexts = tables
+    padded = F.concat(F.lit(PAD), F.col("word"), F.lit("#"))
+    spelled = words.select("word", "n", F.explode(F.transform(F.sequence(F.lit(1), F.length("word") + 1), lambda i: F.substring(padded, i, F.lit(ORDER)))).alias("gram"))
+    asked = spelled.select("gram").distinct().join(grams, "gram", "left").select("gram", F.substring("gram", 1, ORDER - 1).alias("context"), F.col("value").alias("seen"))
+    found = asked.join(contexts, "context", "left").select("gram", F.coalesce("seen", "value", F.lit(0.0)).alias("value"))
+    return spelled.join(materialise(found, "asked"), "gram").groupBy("word").agg(F.first("n").alias("n"), F.sum("value").alias("value"))
 
 
 FEATURES = ("mean", *(f"beyond{i}" for i in range(len(BOUNDS))))
 
 
-def features(docs: DataFrame, held) -> DataFrame:
-    def rows_of(ids, texts, memo={}):  # noqa: B006  (lives as long as the task)
-        found = [held.value.features(text, memo) for text in texts]
-        return {"doc_id": ids} | {name: [x[i] for x in found] for i, name in enumerate(FEATURES)}
+def text_keys(text: str) -> list:
+    return [F.xxhash64(text).alias("text_"), F.xxhash64(F.lit(1), text).alias("check_")]
+
+
+def text_features(docs: DataFrame, tables: tuple[DataFrame, DataFrame]) -> DataFrame:
+    """(text_, check_, features) of every distinct text of ``docs``.
+
+    The most frequent words are summed up where the text is; the others leave as rows (text, word,
+    times) and meet their evidence in a join.  Every word counts, in whichever way.
+    """
+    counted = word_counts(docs.select("text", F.lit(0).alias("toxic"))).select("word", F.col("ordinary").alias("n"))
+    values = materialise(word_values(counted, tables), "word-values")
+    head = values.orderBy(F.desc("n"), "word").limit(HEAD_WORDS).toArrow()  # at most HEAD_WORDS words
+    held = docs.sparkSession.sparkContext.broadcast(dict(zip(head.column("word").to_pylist(), head.column("value").to_pylist())))
+    sums = ", ".join(f"{name} double" for name in FEATURES)
 
-    return map_texts(docs, rows_of, f"doc_id {dict(docs.dtypes)['doc_id']}, " + ", ".join(f"{name} double" for name in FEATURES))
+    def run(batches):
+        known, seen = held.value, set()
+        for batch in small_slices(batches):
+            rows = []
+            for text, *key in zip(*(batch.column(i).to_pylist() for i in (2, 0, 1))):
+                if tuple(key) in seen:
+                    continue
+                seen.add(tuple(key))
+                times = Counter(WORD.findall(text.lower())) if text else Counter()
+                here = [(known[w], n) for w, n in times.items() if w in known]
+                v, n = np.array([x for x, _ in here]), np.array([x for _, x in here])
+                rows.append((*key, None, times.total(), float((v * n).sum()), *(float((np.maximum(v - bound, 0) * n).sum()) for bound in BOUNDS)))
+                rows += [(*key, w, n, *(0.0 for _ in FEATURES)) for w, n in times.items() if w not in known]
+            if rows:
+                types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), *(pa.float64() for _ in FEATURES)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["text_", "check_", "word", "times", *FEATURES])
+
+    parts = materialise(docs.select(*text_keys("text"), "text").mapInArrow(run, f"text_ long, check_ long, word string, times long, {sums}"), "evidence")
+    whole = parts.where("word IS NULL").dropDuplicates(["text_", "check_"]).select("text_", "check_", "times", *FEATURES)
+    rest = parts.where("word IS NOT NULL").groupBy("text_", "check_", "word").agg(F.max("times").alias("times")).join(values.select("word", "value"), "word")
+    beyond = [F.sum(F.col("times") * F.greatest(F.col("value") - bound, F.lit(0.0))).alias(f"beyond{i}") for i, bound in enumerate(BOUNDS)]
+    rest = rest.groupBy("text_", "check_").agg(F.lit(0).cast("long").alias("times"), F.sum(F.col("times") * F.col("value")).alias("mean"), *beyond)
+    total = whole.unionByName(rest).groupBy("text_", "check_").agg(F.sum("times").alias("times"), *(F.sum(name).alias(name) for name in FEATURES))
+    return total.select("text_", "check_", *((F.col(name) / (F.col("times") + PRIOR)).alias(name) for name in FEATURES))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> np.ndarray:
@@ -214,35 +282,60 @@ def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> np.ndarray:
 
 
 class Model:
-    """Evidence and the curve over it."""
+    """Counts of all n-grams, their evidence as tables, and the curve over it; without tables one score for all."""
+
+    def __init__(self, weights: list[float], grams: DataFrame | None = None, tables: tuple[DataFrame, DataFrame] | None = None):
+        self.weights, self.grams, self.tables = weights, grams, tables
 
-    def __init__(self, evidence: Evidence, weights: list[float]):
-        self.evidence, self.weights = evidence, weights
+    @cached_property
+    def evidence(self) -> Evidence:
+        """All counts on the client, to score single texts of a small corpus; no DataFrame is scored by it."""
+        if self.grams is None:
+            return Evidence([], [], [])
+        table = self.grams.toArrow()
+        return Evidence(*(table.column(n).to_pylist() for n in ("gram", "ordinary", "toxic")))
 
     def score(self, text: str | None, memo: dict) -> float:
         z = sum(w * x for w, x in zip(self.weights, (*self.evidence.features(text, memo), 1.0)))
         return 1 / (1 + exp(-max(-30.0, min(30.0, z))))
 
+    def scores(self, docs: DataFrame) -> DataFrame:
+        """(text_, check_, score) of every distinct text of ``docs``."""
+        if self.tables is None:
+            found = docs.select(*text_keys("text")).distinct().withColumns({name: F.lit(0.0) for name in FEATURES})
+        else:
+            found = text_features(docs, self.tables)
+        z = sum((F.col(name) * w for name, w in zip(FEATURES, self.weights)), F.lit(self.weights[-1]))
+        return found.select("text_", "check_", (1 / (1 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), z))))).alias("score"))
+
 
 def fit(docs: DataFrame, labels: DataFrame, curve_rows: int = CURVE_ROWS) -> Model:
     """Model from the labelled rows of ``docs``; counts use all of them, the curve at most ``curve_rows``.
 
-    Without training rows of both classes every text scores the share of toxic ones, 0 if none.
+    Rare n-grams know the rows they were counted in, so the curve is fitted on one half of the rows
+    with the evidence of the other half; only if that half has not both classes on all rows with
+    the evidence of all.  Without training rows of both classes every text scores the share of toxic
+    ones, 0 if none.
     """
     known = training_labels(labels)
-    evidence = fit_counts(labelled(docs, known))
-    held = docs.sparkSession.sparkContext.broadcast(evidence)
-    # Chosen among the labels alone: a few bytes a row, never texts, go to the task that cuts.
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(curve_rows)
-    marked = labelled(docs, chosen).select(F.struct("doc_id", "toxic").alias("doc_id"), "text")
-    sample = features(marked, held).select(F.col("doc_id.toxic").alias("toxic"), *FEATURES).toArrow()
-    y = np.array(sample.column("toxic").to_pylist(), float) > 0
-    if not 0 < y.sum() < len(y):
-        return Model(Evidence([], [], []), [0.0] * len(FEATURES) + [30.0 if len(y) and y.all() else -30.0])
-    x = np.column_stack([sample.column(name).to_numpy() for name in FEATURES])
-    scale = x.std(0) + 1e-9
-    *w, base = logistic(x / scale, y.astype(float))
-    return Model(evidence, [*(float(v) for v in w / scale), float(base)])
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    rows = labelled(docs, known)
+    parts = [materialise(ngram_counts(word_counts(rows.where(side))), "grams") for side in (half, ~half)]
+    grams = materialise(parts[0].unionAll(parts[1]).groupBy("gram").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")), "grams")
+    tables = gram_evidence(grams)
+    for apart in (True, False):
+        # Chosen among the labels alone: a few bytes a row, never texts, go to the task that cuts.
+        chosen = (known.where(half) if apart else known).orderBy(F.xxhash64("doc_id"), "doc_id").limit(curve_rows)
+        marked = labelled(docs, chosen)
+        found = text_features(marked, gram_evidence(parts[1]) if apart else tables)
+        sample = marked.select("toxic", *text_keys("text")).join(found, ["text_", "check_"]).select("toxic", *FEATURES).toArrow()
+        y = np.array(sample.column("toxic").to_pylist(), float) > 0
+        if 0 < y.sum() < len(y):
+            x = np.column_stack([sample.column(name).to_numpy() for name in FEATURES])
+            scale = x.std(0) + 1e-9
+            *w, base = logistic(x / scale, y.astype(float))
+            return Model([*(float(v) for v in w / scale), float(base)], grams, tables)
+    return Model([0.0] * len(FEATURES) + [30.0 if len(y) and y.all() else -30.0])
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -250,21 +343,13 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     Repeated rows and null ids keep their rows; other columns are ignored.
     """
-    held = docs.sparkSession.sparkContext.broadcast(model)
-
-    def rows_of(ids, texts, memo={}):  # noqa: B006  (lives as long as the task)
-        return {"doc_id": ids, "score": [held.value.score(text, memo) for text in texts]}
-
-    return map_texts(docs, rows_of, f"doc_id {dict(docs.dtypes)['doc_id']}, score double")
+    return docs.select("doc_id", *text_keys("text")).join(materialise(model.scores(docs), "scores"), ["text_", "check_"]).select("doc_id", "score")
 
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
-    """The rows of ``docs``, all columns, that score below the threshold; one narrow pass."""
-    held, place = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
-
-    def run(batches):
-        memo: dict = {}
-        for batch in small_slices(batches):
-            yield batch.filter(pa.array([held.value.score(t, memo) < threshold for t in batch.column(place).to_pylist()], pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)
+    """The rows of ``docs``, all columns, that score below the threshold; only hashes of toxic texts are joined."""
+    bad = materialise(model.scores(docs).where(F.col("score") >= threshold).select("text_", "check_"), "toxic")
+    columns = {name: f"column_{i}_" for i, name in enumerate(docs.columns)}
+    renamed = docs.toDF(*columns.values())
+    kept = renamed.withColumns({"text_": F.xxhash64(columns["text"]), "check_": F.xxhash64(F.lit(1), columns["text"])}).join(bad, ["text_", "check_"], "left_anti")
+    return kept.select(*(F.col(temp).alias(name) for name, temp in columns.items()))

@@ -108,6 +108,19 @@ def test_backoff_is_a_distribution():
     assert evidence.word("zz") == evidence.contexts.get("####", 0.0)  # unknown letters: back-off weights only
 
 
+def test_rare_grams_count_in_a_large_class(spark, monkeypatch):
+    """A word seen once among 600,000 n-grams keeps its evidence, and the tables give what memory gives."""
+    filler = " ".join(["ab"] * 200_000)
+    rows = [(0, filler, 0), (2, filler + " xyzzy", 1), (3, "ab ba qux", 0)]
+    docs = spark.createDataFrame([r[:2] for r in rows] + [(9, "xyzzy ab"), (10, "new words qux xyzzy")], "doc_id long, text string")
+    monkeypatch.setattr(toxicity, "HEAD_WORDS", 1)
+    grams = toxicity.ngram_counts(toxicity.word_counts(spark.createDataFrame([r[1:] for r in rows], "text string, toxic int")))
+    model = toxicity.Model([1.0, 0.5, 0.25, 0.1], grams, toxicity.gram_evidence(grams))
+    assert model.tables[0].where("gram = 'xyzzy'").first().value > 0
+    found = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    assert found == pytest.approx({r.doc_id: model.score(r.text, {}) for r in docs.collect()}, abs=1e-9) and found[9] > found[3]
+
+
 def test_toxicity_of_odd_rows(spark, odd, odd_rows, none):
     labels = spark.createDataFrame([(1, 1), (1, 0), (5, 0), (6, None), (None, 1), (99, 1)], "doc_id long, toxic int")
     model = toxicity.fit(odd, labels)
