@@ -61,9 +61,9 @@ _DOT_WORD = rf"(?:{_OPEN}(?i:dot|punkt|punto|\.){_CLOSE}|\x20{{1,3}}(?i:dot|punk
 DISGUISED_MAIL = re.compile(
     rf"(?P<local>[A-Za-z0-9%+-](?:[A-Za-z0-9._%+-]|{_DOT_WORD}(?=[A-Za-z0-9])){{0,64}})(?P<at>{_AT})"
     rf"(?P<domain>[A-Za-z0-9-]+(?:(?:{_DOT_WORD}|\.)[A-Za-z0-9-]+)+)", re.A)
-#: Without one of these a text has no disguised at or dot.
-DISGUISE_HINTS = ("(at", "[at", "{at", "<at", "( at", "[ at", "{ at", "(@", "[@", "{@", "<@", " @", "@ ", " dot ", " punkt ", " punto ", "dot)",
-                  "dot]", "dot}", "dot )", "dot ]", "(.)", "[.]", "{.}", "( . )", "[ . ]")
+#: Any dot that is a word or in brackets, any at in brackets or beside a blank.  A bare "at" counts only with such a dot.
+DISGUISE_HINT = re.compile(
+    r"[\x20\[({<](?:dot|punkt|punto)[\x20\])}>]|[\[({<]\x20{0,3}(?:at|@|\.)\x20{0,3}[\])}>]|\x20@|@\x20")
 DOT_WORD = re.compile(_DOT_WORD, re.A)
 #: Figures with a spelled or bracketed dot between them: 10 dot 0 dot 0 dot 1.
 DISGUISED_IP = re.compile(rf"[0-9]{{1,4}}(?:(?:{_DOT_WORD}|\.)[0-9]{{1,4}}){{3}}", re.A)
@@ -190,8 +190,9 @@ def normalised(text: str) -> tuple[str, list[Edited]] | None:
     low = now.lower()
     if SPELLED_HINT.search(low):
         apply(spelled_edits(now))
+    if "plus " in low:
         apply([(m.start(), m.end(), "+") for m in PLUS_WORD.finditer(now)])
-    if any(hint in low for hint in DISGUISE_HINTS):
+    if DISGUISE_HINT.search(low):
         apply(disguise_edits(now))
     return (now, chain) if chain or changed else None
 

@@ -70,6 +70,26 @@ def test_disguises_map_back():
     assert added("one two three") == []
 
 
+def test_gates_let_all_disguises_through(monkeypatch):
+    """Every form of at and dot, and a plus in words, with the cheap tests and without."""
+    brackets = [f"{o}{' ' * i}%s{' ' * j}{c}" for o, c in ("()", "[]", "{}", "<>", "(]") for i in range(4) for j in range(4)]
+    spaced = [f"{' ' * i}%s{' ' * j}" for i in (1, 2, 3) for j in (1, 2, 3)]
+    dots = [form % word for word in ("dot", "punkt", "punto", "Dot", "PUNKT") for form in brackets + spaced] + [form % "." for form in brackets]
+    ats = [form % word for word in ("at", "AT", "@") for form in brackets + spaced] + [f"@{' ' * i}" for i in (1, 2, 3)] + [f"{' ' * i}@" for i in (1, 2, 3)]
+    texts = [f"max@firma{d}de" for d in dots] + [f"10{d}0{d}0{d}1" for d in dots] + [f"bob{a}site.org" for a in ats] + [f"bob{a}site{d}org" for a in ats[::7] for d in dots[::7]]
+    texts += ["call plus 49 171 1234567 now", "call PLUS  49 171 1234567"]
+    gated = [added(t) for t in texts]
+
+    class Open:
+        search = staticmethod(lambda text: True)
+
+    monkeypatch.setattr(pii, "DISGUISE_HINT", Open)
+    monkeypatch.setattr(pii, "SPELLED_HINT", Open)
+    assert gated == [added(t) for t in texts]
+    for text, kind in [("max@firma(punkt)de", "email"), ("info@firma[punto]es", "email"), ("a@b<dot>com", "email"), ("10(punkt)0(punkt)0(punkt)1", "ip"), ("plus 49 171 1234567", "phone")]:
+        assert [k for k, _ in added(text)] == [kind]
+
+
 def test_hostile_lengths():
     assert pii.scan("a" + " dot a" * 5000 + "@")[0] == []
     assert secret_scan.scan("token" + " " * 100_000)[0] == []
