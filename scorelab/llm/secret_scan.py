@@ -41,7 +41,7 @@ ENDPOINT_PATTERN = re.compile(
 ENDPOINT_HINTS = ("://", "host", "endpoint", "server", "url")
 NAMED_SECRET = re.compile(
     r"(?<![A-Za-z0-9])(?i:pass(?:phrase|code)?|pwd|credentials?|private_?key|auth)" + SETS + r"[^\s\"',;]{6,}", re.A)
-LONG_TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,200}(?![A-Za-z0-9+/_=-])")
+LONG_TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}(?![A-Za-z0-9+/_=-])")
 BLANK_LINE = re.compile(r"\n[ \t\r]*\n")
 
 
