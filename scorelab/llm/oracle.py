@@ -54,3 +54,39 @@ sums AS (SELECT doc_id, strlen(text) + 1 AS size, xor(list_reduce(list_prepend(4
 SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'key' AS law,
   {_least(['/region0', '/region1'], [4.0, 4.0], [_racks(0), _racks(1)])} AS shard,
   {_least(['/region0', '/region1', '/region8'], [4.0, 4.0, 1.0], [_racks(0), _racks(1), '8'])} AS grown_shard FROM sums"""
+
+
+_ID_BYTES = "list_transform(range(CAST(strlen(id) AS BIGINT)), lambda i: CAST(unicode(substr(id, CAST(i + 1 AS BIGINT), 1)) AS BIGINT))"
+
+
+def _field(column: str) -> str:
+    return f"coalesce(CAST(strlen(CAST({column} AS VARCHAR)) AS VARCHAR) || ':' || CAST({column} AS VARCHAR), '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+MERKLE = f"""
+WITH RECURSIVE crcs AS (SELECT list(c ORDER BY n) AS crc FROM (SELECT n, list_reduce(list_prepend(n, range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(n))),
+d AS (SELECT *, coalesce(CAST(doc_id AS VARCHAR), '') AS id, {_leaf("n_chars")} AS leaf, {_leaf("(n_chars + 1)")} AS changed FROM documents),
+e AS (SELECT *, coalesce(xor(list_reduce(list_prepend(4294967295, {_ID_BYTES}), lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295), 0) AS sum FROM d, crcs),
+p AS (SELECT row_number() OVER () AS row, doc_id, lang, leaf, CASE WHEN sum % 7 = 0 THEN changed ELSE leaf END AS shown,
+             row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM e),
+t(lang, lvl, pos, h, n) AS (SELECT lang, 0, pos, leaf, n FROM p
+  UNION ALL SELECT lang, lvl + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), max((n + 1) // 2) FROM t WHERE n > 1 GROUP BY lang, lvl, pos // 2),
+s AS (SELECT lang, h AS subroot, lvl AS top, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM t WHERE n = 1),
+u(lvl, pos, h, n) AS (SELECT 0, pos, subroot, n FROM s
+  UNION ALL SELECT lvl + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), max((n + 1) // 2) FROM u WHERE n > 1 GROUP BY lvl, pos // 2),
+steps AS (SELECT lang, top AS height, s.pos AS start, (SELECT max(lvl) FROM u) AS above FROM s),
+places AS (SELECT p.row, p.lang, lvl, CASE WHEN lvl < height THEN p.pos >> lvl ELSE start >> (lvl - height) END AS place, lvl >= height AS up
+           FROM p JOIN steps ON p.lang IS NOT DISTINCT FROM steps.lang, LATERAL (SELECT unnest(range(height + above)) AS lvl)),
+nodes AS (SELECT lang, lvl, pos, h, false AS up FROM t UNION ALL SELECT s.lang, top + u.lvl, u.pos, u.h, true FROM s, u),
+siblings AS (SELECT row, places.lvl AS lvl, place, nodes.h FROM places LEFT JOIN nodes ON places.lang IS NOT DISTINCT FROM nodes.lang AND places.lvl = nodes.lvl AND places.up = nodes.up AND nodes.pos = xor(place, 1)),
+proof AS (SELECT row, sha256(coalesce(string_agg(h, '' ORDER BY lvl), '')) AS proof_sha256 FROM siblings GROUP BY row),
+f(row, lvl, h) AS (SELECT row, 0, shown FROM p
+  UNION ALL SELECT f.row, f.lvl + 1, sha256(CASE WHEN g.h IS NULL THEN f.h WHEN g.place % 2 = 1 THEN g.h || f.h ELSE f.h || g.h END) FROM f JOIN siblings g ON f.row = g.row AND f.lvl = g.lvl),
+last AS (SELECT row, arg_max(h, lvl) AS folded_root FROM f GROUP BY row),
+r AS (SELECT h AS root FROM u WHERE n = 1)
+SELECT p.doc_id, p.leaf, s.subroot, r.root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM p JOIN s ON p.lang IS NOT DISTINCT FROM s.lang, r, last LEFT JOIN proof ON last.row = proof.row WHERE last.row = p.row"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorelab.llm import decontaminate, graph_ann, langid, line_dedup, oracle, pieces, pii, secret_scan, sharding, simhash, toxicity
+from scorelab.llm import decontaminate, graph_ann, langid, line_dedup, merkle, oracle, periodic, pieces, pii, secret_scan, sharding, simhash, toxicity
 from scorelab.llm.common import fold, load
 
 
@@ -58,6 +58,15 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.document_proofs(documents(spark, sf_dir, *merkle.LEAF_COLUMNS))
+
+
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    return periodic.run_digests(docs.select("doc_id", periodic.planted(F.col("doc_id"), F.col("text")).alias("text")))
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_simhash": op2_simhash,
@@ -69,6 +78,8 @@ QUERIES = {
     "op8_neighbours": op8_neighbours,
     "op9_personal_data": op9_personal_data,
     "op10_language": op10_language,
+    "op12_manifest": op12_manifest,
+    "op13_periodic": op13_periodic,
 }
 #: The other queries rest on fits, hashes, scans or searches that SQL cannot state; tests/llm checks them by brute force.
-ORACLE: dict[str, str] = {"op4_decontamination": oracle.DECONTAMINATION, "op6_line_dedup": oracle.LINE_DEDUP}
+ORACLE: dict[str, str] = {"op4_decontamination": oracle.DECONTAMINATION, "op6_line_dedup": oracle.LINE_DEDUP, "op12_manifest": oracle.MERKLE}
