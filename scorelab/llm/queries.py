@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scorelab.llm import decontaminate, graph_ann, langid, line_dedup, merkle, oracle, periodic, pieces, pii, secret_scan, sharding, simhash, toxicity
+from scorelab.llm import decontaminate, extraction, graph_ann, langid, line_dedup, merkle, oracle, periodic, pieces, pii, secret_scan, sharding, simhash, toxicity
 from scorelab.llm.common import fold, load
 
 
@@ -58,6 +58,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op11_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(load(spark, sf_dir, "pages"))
+
+
 def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.document_proofs(documents(spark, sf_dir, *merkle.LEAF_COLUMNS))
 
@@ -78,6 +82,7 @@ QUERIES = {
     "op8_neighbours": op8_neighbours,
     "op9_personal_data": op9_personal_data,
     "op10_language": op10_language,
+    "op11_extraction": op11_extraction,
     "op12_manifest": op12_manifest,
     "op13_periodic": op13_periodic,
 }
