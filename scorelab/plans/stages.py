@@ -15,7 +15,7 @@ from scorelab.operators.segments import add_quadrants
 from scorelab.plans.models import Evaluated, classify, cluster_vectors, segment
 from scorelab.plans.reports import REPORT_ORDER, all_reports
 from scorelab.session import materialise
-from scorelab.sources import read_survey_csv, read_table, write_metrics, write_report, write_table
+from scorelab.sources import read_split_csv, read_survey_csv, read_table, write_metrics, write_report, write_table
 
 CLEANED = "cleaned_data/cleaned_survey_data"
 SCORED = "cleaned_data/ai_trust_scores"
@@ -24,9 +24,9 @@ REPORTS = "spark_sql_results"
 MODELS = "ml_results"
 
 
-def ingest(spark: SparkSession, csv_path: str, out: str, multi_line: bool = True) -> DataFrame:
-    """Export to cleaned table."""
-    raw = read_survey_csv(spark, csv_path, multi_line=multi_line)
+def ingest(spark: SparkSession, csv_path: str, out: str, multi_line: bool = True, split: bool = False) -> DataFrame:
+    """Export to cleaned table.  ``split`` reads one large file with line breaks in answers by ranges."""
+    raw = read_split_csv(spark, csv_path) if split else read_survey_csv(spark, csv_path, multi_line=multi_line)
     write_table(clean_responses(raw), f"{out}/{CLEANED}")
     return read_table(spark, f"{out}/{CLEANED}")
 

@@ -20,7 +20,7 @@ def read_survey_csv(
     """Every column is text; nothing is inferred.  ``null_token`` reads as null.
 
     With ``multi_line`` quoted answers may hold line breaks, but then one file
-    is one task: ship large exports as many files.  When no answer holds a line
+    is one task: ship large exports as many files, or use ``read_split_csv``.  When no answer holds a line
     break, ``multi_line=False`` lets Spark split every file.  ``columns`` gives
     the full header and saves the small job that reads it.
     """
