@@ -258,6 +258,7 @@ DESCRIBED = ["UsageFreq", "AgentDepth", "AIModelCount", "WorkflowIntegration", "
 ORACLE: dict[str, str] = {
     # sources
     "csv_roundtrip": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, nullif(text, 'NA') AS text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars FROM documents",
+    "csv_split_roundtrip": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, nullif(text, 'NA') AS text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars FROM documents",
     "report_roundtrip": with_(SCORED, f'SELECT {BAND} AS "UsageBand", count(*) AS "DeveloperCount", {AVERAGES} FROM scored GROUP BY 1'),
     "metrics_roundtrip": with_(BINARY, "SELECT * FROM record"),
     "table_roundtrip": with_(QUADS, 'SELECT "TrustUsageGroup", count(*) AS n, count(DISTINCT "ResponseId") AS respondents FROM quads GROUP BY 1'),
@@ -438,3 +439,4 @@ ORACLE: dict[str, str] = {
           UNION ALL SELECT 'output artefacts', true, 'missing: none')""",
         """SELECT * FROM checks UNION ALL SELECT 'ALL', bool_and(passed), count(*) FILTER (passed) || ' of ' || count(*) || ' passed' FROM checks"""),
 }
+ORACLE |= {f"row_slice_{name}": ORACLE[f"filtered_{name}"] for name in ("kpis", "quadrants", "top_countries")}

@@ -25,6 +25,7 @@ from scorelab.operators import metrics as M
 from scorelab.operators import profiles as P
 from scorelab.operators import sampling as S
 from scorelab.operators import segments as G
+from scorelab.operators.cells import build_cells, slice_totals
 from scorelab.operators.ranking import median_cuts
 from scorelab.operators.scores import score_responses
 from scorelab.plans import models, reports, views
@@ -33,6 +34,7 @@ from scorelab.sources import (
     read_metrics,
     read_optional_table,
     read_report,
+    read_split_csv,
     read_survey_csv,
     read_table,
     register_table,
@@ -78,6 +80,14 @@ def csv_roundtrip(spark, sf_dir):
     return read_survey_csv(spark, path)
 
 
+@query
+def csv_split_roundtrip(spark, sf_dir):
+    """The same as a single file, read by byte ranges."""
+    path = scratch_path(spark, "csv")
+    write_survey_csv(R.load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars").coalesce(1), path)
+    return read_split_csv(spark, path)
+
+
 @query
 def report_roundtrip(spark, sf_dir):
     """The band report out to one CSV file and back with its schema."""
@@ -519,6 +529,12 @@ def _slice(spark, sf_dir):
     )
 
 
+def _cell_slice(spark, sf_dir):
+    """The same slice of the written cells; no row is read again."""
+    cells = R.stage(spark, sf_dir, "cells", lambda: build_cells(_quadrants(spark, sf_dir)))
+    return views.slice_of(cells, roles=R.ROLES[:6], countries=[f"NATION_{i}" for i in range(20)], years=(2, 30), keep_unknown_years=True)
+
+
 @query
 def filtered_slice(spark, sf_dir):
     return _slice(spark, sf_dir).select("ResponseId", "DevType", "Country", "WorkExpNum", "TrustUsageGroup")
@@ -533,23 +549,39 @@ def filtered_known_years(spark, sf_dir):
 
 @query
 def filtered_kpis(spark, sf_dir):
-    return views.slice_kpis(_slice(spark, sf_dir))
+    return slice_totals(_cell_slice(spark, sf_dir))
 
 
 @query
 def filtered_quadrants(spark, sf_dir):
-    return views.slice_quadrants(_slice(spark, sf_dir))
+    return views.cell_quadrants(_cell_slice(spark, sf_dir))
 
 
 @query
 def filtered_top_groups(spark, sf_dir):
     """Roles of the slice's focus quadrant with their short labels."""
-    top = views.slice_top_groups(_slice(spark, sf_dir), "DevType")
+    top = views.cell_top_groups(_cell_slice(spark, sf_dir), "DevType")
     return top.withColumn("RoleLabel", fn.shorten_role("DevType"))
 
 
 @query
 def filtered_top_countries(spark, sf_dir):
+    return views.cell_top_groups(_cell_slice(spark, sf_dir), "Country")
+
+
+@query
+def row_slice_kpis(spark, sf_dir):
+    """The slice's totals from rows, for callers that keep no cells."""
+    return views.slice_kpis(_slice(spark, sf_dir))
+
+
+@query
+def row_slice_quadrants(spark, sf_dir):
+    return views.slice_quadrants(_slice(spark, sf_dir))
+
+
+@query
+def row_slice_top_countries(spark, sf_dir):
     return views.slice_top_groups(_slice(spark, sf_dir), "Country")
 
 

@@ -12,6 +12,7 @@ from scorelab.functions.display import bin_centre, bin_label, fixed_text, percen
 from scorelab.functions.encode import lookup
 from scorelab.functions.hashing import hash_jitter
 from scorelab.operators import profiles as P
+from scorelab.operators.cells import roll_up
 from scorelab.operators.sampling import bounded_sample
 from scorelab.operators.segments import dense_grid, density, one_row
 
@@ -172,9 +173,11 @@ def slice_kpis(rows: DataFrame, quadrant: str = V.FOCUS_QUADRANT) -> DataFrame:
     )
 
 
+_MEANS = {"AvgUsageScore": "UsageScore", "AvgTrustScore": "TrustScore", "AvgFrustrationScore": "FrustrationScore"}
+
+
 def slice_quadrants(rows: DataFrame) -> DataFrame:
-    means = {"AvgUsageScore": "UsageScore", "AvgTrustScore": "TrustScore", "AvgFrustrationScore": "FrustrationScore"}
-    return quadrant_sizes(P.profile(rows, ["TrustUsageGroup"], means))
+    return quadrant_sizes(P.profile(rows, ["TrustUsageGroup"], _MEANS))
 
 
 def slice_top_groups(rows: DataFrame, column: str, k: int = 12, quadrant: str = V.FOCUS_QUADRANT) -> DataFrame:
@@ -184,6 +187,17 @@ def slice_top_groups(rows: DataFrame, column: str, k: int = 12, quadrant: str =
     return P.top_k(grouped, "Developers", k, [column])
 
 
+def cell_quadrants(cells: DataFrame) -> DataFrame:
+    """``slice_quadrants`` from cells."""
+    return quadrant_sizes(roll_up(cells, ["TrustUsageGroup"], _MEANS))
+
+
+def cell_top_groups(cells: DataFrame, column: str, k: int = 12, quadrant: str = V.FOCUS_QUADRANT) -> DataFrame:
+    """``slice_top_groups`` from cells."""
+    grouped = roll_up(cells.where(F.col("TrustUsageGroup") == quadrant), [column], {"AvgFrustration": "FrustrationScore"}, count="Developers")
+    return P.top_k(grouped, "Developers", k, [column])
+
+
 def filter_options(rows: DataFrame, column: str, k: int = 15) -> DataFrame:
     """The k most frequent values, listed by name."""
     return P.frequencies(rows.where(F.col(column).isNotNull()), column).limit(k).orderBy(column)
