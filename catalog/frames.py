@@ -15,7 +15,7 @@ from scorelab import vocabulary as V
 from scorelab.operators.clean import clean_responses
 from scorelab.operators.scores import score_responses
 from scorelab.session import scratch_path
-from scorelab.sources import read_table, write_table
+from scorelab.sources import read_version, write_version
 
 # --- fixed values: answer texts used by the frame ----------------------------
 ROLES = [
@@ -142,6 +142,7 @@ def rated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SCORES = ("UsageScore", "TrustScore", "FrustrationScore", "AvgTrustScore")
 _STAGES: dict[tuple[str, str, str], str] = {}
 
 
@@ -151,14 +152,15 @@ def stage(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataF
     Later queries scan only the columns they need from it, with their filters
     pushed down, as jobs that follow each other through tables do.
     """
-    return read_table(spark, stage_path(spark, sf_dir, name, build))
+    return read_version(spark, stage_path(spark, sf_dir, name, build))
 
 
 def stage_path(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> str:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STAGES:
-        path = scratch_path(spark, name)
-        write_table(build(), path)
+        path, df = scratch_path(spark, name), build()
+        # What the quality checks ask of a table is observed while it is written.
+        write_version(df, path, [c for c in SCORES if c in df.columns])
         _STAGES[key] = path
     return _STAGES[key]
 

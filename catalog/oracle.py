@@ -440,3 +440,8 @@ ORACLE: dict[str, str] = {
         """SELECT * FROM checks UNION ALL SELECT 'ALL', bool_and(passed), count(*) FILTER (passed) || ' of ' || count(*) || ' passed' FROM checks"""),
 }
 ORACLE |= {f"row_slice_{name}": ORACLE[f"filtered_{name}"] for name in ("kpis", "quadrants", "top_countries")}
+ORACLE |= {
+    "quality_report_scanned": ORACLE["quality_report"],
+    "version_roundtrip": """SELECT count(*) AS "read", CAST(sum(o_custkey) AS BIGINT) AS customers, count(*) AS n, round(min(o_totalprice), 6) AS lowest,
+        round(max(o_totalprice), 6) AS highest, 2::BIGINT AS version FROM orders WHERE o_orderkey % 2 = 0""",
+}

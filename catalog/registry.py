@@ -37,12 +37,15 @@ from scorelab.sources import (
     read_split_csv,
     read_survey_csv,
     read_table,
+    read_version,
     register_table,
     select_available,
+    table_facts,
     write_metrics,
     write_report,
     write_survey_csv,
     write_table,
+    write_version,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -654,23 +657,54 @@ def metrics_record(spark, sf_dir):
 
 @query
 def quality_report(spark, sf_dir):
+    """Checks of the written stage tables: counts, columns and ranges were observed while writing."""
+    names = {"scored": "scored", "roles": "report-trust_by_role", "stages": "report-experience_analysis"}
+    roles, stages = _report(spark, sf_dir, "trust_by_role"), _report(spark, sf_dir, "experience_analysis")
+    R.scored_table(spark, sf_dir)
+    facts = {n: table_facts(spark, R.stage_path(spark, sf_dir, stage, lambda: None)) for n, stage in names.items()}
+    return X.quality_report(
+        [
+            X.written_rows_between(spark, facts["scored"], 100, 10_000_000_000_000),
+            X.written_columns(spark, facts, {"roles": ["DevType", "AvgTrustScore"], "stages": ["ExperienceGroup", "Median"]}),
+            X.written_within_bounds(spark, list(facts.values())),
+            X.extremes_are(roles, "DevType", "AvgTrustScore", "Student", "Data engineer"),
+            X.spread_below(stages, "ExperienceGroup", "AvgTrustScore", V.UNKNOWN, 50.0),
+            X.written_outputs(spark, {n: facts[n] for n in ("roles", "stages")}),
+        ]
+    )
+
+
+@query
+def quality_report_scanned(spark, sf_dir):
+    """The same checks by reading rows, for tables written elsewhere."""
     scored = R.scored_table(spark, sf_dir)
     roles, stages = reports.trust_by_role(scored), reports.experience_analysis(scored)
-    scores = ["UsageScore", "TrustScore", "FrustrationScore"]
-    written = [R.stage_path(spark, sf_dir, f"report-{n}", lambda n=n: _report(spark, sf_dir, n)) for n in ("trust_by_role", "experience_analysis")]
+    path = scratch_path(spark, "roles")
+    write_table(roles, path)
     return X.quality_report(
         [
             X.row_count_between(scored, 100, 10_000_000_000_000),
             X.has_columns({"roles": roles, "stages": stages},
                           {"roles": ["DevType", "AvgTrustScore"], "stages": ["ExperienceGroup", "Median"]}),
-            X.within_bounds([(scored, scores), (roles, ["AvgTrustScore"]), (stages, ["AvgTrustScore"])]),
+            X.within_bounds([(scored, ["UsageScore", "TrustScore", "FrustrationScore"]), (roles, ["AvgTrustScore"]), (stages, ["AvgTrustScore"])]),
             X.extremes_are(roles, "DevType", "AvgTrustScore", "Student", "Data engineer"),
             X.spread_below(stages, "ExperienceGroup", "AvgTrustScore", V.UNKNOWN, 50.0),
-            X.outputs_exist(spark, written),
+            X.outputs_exist(spark, [path]),
         ]
     )
 
 
+@query
+def version_roundtrip(spark, sf_dir):
+    """Orders written as a table and rewritten from itself, with the facts of its second version."""
+    path = scratch_path(spark, "orders")
+    write_version(R.load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), path)
+    facts = write_version(read_version(spark, path).where("o_orderkey % 2 = 0"), path, ["o_totalprice"])
+    seen = {"n": facts.rows, "lowest": facts.low["o_totalprice"], "highest": facts.high["o_totalprice"], "version": facts.version}
+    read = read_version(spark, path).agg(F.count(F.lit(1)).alias("read"), F.sum("o_custkey").alias("customers"))
+    return read.select("*", *[F.lit(v).cast("double" if isinstance(v, float) else "long").alias(n) for n, v in seen.items()])
+
+
 # --- models -------------------------------------------------------------------
 
 def _vectors(spark, sf_dir):

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from scorelab.functions.encode import named
 from scorelab.operators.profiles import extreme_rows, spread
 from scorelab.sources.tables import read_optional_table
+from scorelab.sources.versions import Facts
 
 COLUMNS = ["name", "passed", "detail"]
 
@@ -85,6 +86,36 @@ def outputs_exist(spark: SparkSession, paths: Sequence[str], name: str = "output
     return _plain(spark, name, not gone, "missing: " + (", ".join(gone) or "none"))
 
 
+# --- from the facts of written tables: no table is read ----------------------
+
+def written_rows_between(spark: SparkSession, facts: Facts, low: int, high: int, name: str = "row count") -> DataFrame:
+    """``row_count_between`` of a written table."""
+    return _plain(spark, name, low < facts.rows < high, f"rows={facts.rows}")
+
+
+def written_columns(spark: SparkSession, tables: Mapping[str, Facts], required: Mapping[str, Sequence[str]],
+                    name: str = "required columns") -> DataFrame:
+    """``has_columns`` of written tables."""
+    gaps = {t: sorted(set(cols) - set(tables[t].columns)) for t, cols in sorted(required.items())}
+    detail = "; ".join(f"{t}: {', '.join(c)}" for t, c in gaps.items() if c) or "none"
+    return _plain(spark, name, detail == "none", f"missing: {detail}")
+
+
+def written_within_bounds(spark: SparkSession, tables: Sequence[Facts], low: float = 0.0, high: float = 100.0,
+                          name: str = "score bounds") -> DataFrame:
+    """``within_bounds`` over all observed ranges of written tables; without any value it does not pass."""
+    lows, highs = [v for t in tables for v in t.low.values()], [v for t in tables for v in t.high.values()]
+    if not lows:
+        return _plain(spark, name, False, "min=null, max=null")
+    return _plain(spark, name, min(lows) >= low and max(highs) <= high, f"min={min(lows):.1f}, max={max(highs):.1f}")
+
+
+def written_outputs(spark: SparkSession, tables: Mapping[str, Facts | None], name: str = "output artefacts") -> DataFrame:
+    """``outputs_exist`` of written tables: each has a version with a row."""
+    gone = [path for path, facts in tables.items() if facts is None or not facts.rows]
+    return _plain(spark, name, not gone, "missing: " + (", ".join(gone) or "none"))
+
+
 def quality_report(checks: Sequence[DataFrame], overall: str = "ALL") -> DataFrame:
     """All check rows plus one that says whether all passed."""
     rows = reduce(DataFrame.unionByName, checks)

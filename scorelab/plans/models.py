@@ -53,6 +53,7 @@ class Evaluated:
     confusion: DataFrame
     report: DataFrame
     strip: DataFrame
+    ensemble: C.Ensemble
 
 
 def classify(
@@ -82,6 +83,7 @@ def classify(
         confusion=M.confusion_matrix(predictions, "y_true", "y_pred"),
         report=M.classification_report(predictions, "y_true", "y_pred"),
         strip=evaluation_strip(predictions),
+        ensemble=ensemble,
     )
 
 

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from scorelab import vocabulary as V
+from scorelab.operators.classify import save_ensemble
 from scorelab.operators.clean import clean_responses
 from scorelab.operators.clustering import best_kmeans, cluster_summary, kmeans_scan
 from scorelab.operators.scores import score_responses
@@ -63,6 +64,7 @@ def model(spark: SparkSession, out: str, k: int = 4, starts: int = 10, trees: in
     summary = cluster_summary(read_table(spark, f"{out}/{MODELS}/cluster_rows"), V.CLUSTER_FEATURES)
     write_report(summary, f"{out}/{MODELS}/cluster_summary", order_by=[("Cluster", False)])
     result = classify(scored, trees=trees, depth=depth)
+    save_ensemble(result.ensemble, f"{out}/{MODELS}/rf_ensemble")
     write_report(result.importance, f"{out}/{MODELS}/paradox_feature_importance", order_by=[("Importance", True)])
     write_table(result.predictions, f"{out}/{MODELS}/rf_predictions")
     write_metrics(result.record, f"{out}/{MODELS}/rf_metrics")

@@ -10,9 +10,11 @@ from scorelab.sources.tables import (
     select_available,
     write_table,
 )
+from scorelab.sources.versions import Facts, read_version, table_facts, write_version
 
 __all__ = [
     "read_metrics", "read_report", "write_metrics", "write_report",
     "read_split_csv", "read_survey_csv", "write_survey_csv",
     "read_optional_table", "read_table", "register_table", "select_available", "write_table",
+    "Facts", "read_version", "table_facts", "write_version",
 ]

@@ -3,19 +3,27 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from catalog import frames
+from scorelab.operators import checks as X
+from scorelab.operators.classify import load_ensemble, vote
 from scorelab.plans import stages
+from scorelab.plans.models import model_rows
 from scorelab.sources import (
+    Facts,
     read_metrics,
     read_optional_table,
     read_report,
     read_survey_csv,
     read_table,
+    read_version,
     select_available,
+    table_facts,
     write_report,
     write_survey_csv,
     write_table,
+    write_version,
 )
 
 
@@ -80,3 +88,39 @@ def test_stages_end_to_end(spark, small, tmp_path):
     assert record.n_train + record.n_test == read_table(spark, f"{out}/{stages.MODELS}/cluster_rows").count()
     assert len(record.predictors) == 8
     assert result.strip.first().roc_auc > 0.5
+    again = load_ensemble(spark, f"{out}/{stages.MODELS}/rf_ensemble")
+    rows = model_rows(scored).select("ResponseId", *again.predictors, again.label)
+    votes = [sorted(map(tuple, vote(e, rows).select("ResponseId", "y_proba", "y_pred").collect())) for e in (again, result.ensemble)]
+    assert votes[0] == votes[1] and len(votes[0]) > 0
+
+
+def test_one_large_export(spark, small, tmp_path):
+    raw = frames.responses(spark, small)
+    write_survey_csv(raw.coalesce(1), str(tmp_path / "export"))
+    whole = stages.ingest(spark, str(tmp_path / "export"), str(tmp_path / "a"))
+    split = stages.ingest(spark, str(tmp_path / "export"), str(tmp_path / "b"), split=True)
+    assert whole.exceptAll(split).isEmpty() and split.exceptAll(whole).isEmpty()
+
+
+def test_a_failed_write_leaves_the_old_version(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert table_facts(spark, path) is None
+    with pytest.raises(FileNotFoundError):
+        read_version(spark, path)
+    first = write_version(spark.range(5).withColumn("v", F.when(F.col("id") > 1, F.col("id") * 1.5)), path, ["v"])
+    assert (first.rows, first.low, first.high, first.version) == (5, {"v": 3.0}, {"v": 6.0}, 1)
+    broken = read_version(spark, path).withColumn("v", F.when(F.col("id") == 4, F.raise_error(F.lit("midway"))).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="midway"):
+        write_version(broken, path, ["v"])
+    assert read_version(spark, path).count() == 5 and table_facts(spark, path) == first
+    second = write_version(read_version(spark, path).where("id < 2"), path, ["v"])
+    assert (second.rows, second.low, second.version) == (2, {}, 2) and read_version(spark, path).count() == 2
+
+
+def test_checks_from_facts(spark):
+    facts = Facts(3, ("k", "v"), {"v": 10.0}, {"v": 101.0})
+    checks = [X.written_rows_between(spark, facts, 2, 4), X.written_columns(spark, {"t": facts}, {"t": ["k", "w"]}),
+              X.written_within_bounds(spark, [facts]), X.written_within_bounds(spark, [Facts(0, ())], name="nothing"), X.written_outputs(spark, {"t": facts, "gone": None})]
+    rows = {r.name: (r.passed, r.detail) for r in X.quality_report(checks).collect()}
+    assert rows == {"row count": (True, "rows=3"), "required columns": (False, "missing: t: w"), "score bounds": (False, "min=10.0, max=101.0"),
+                    "nothing": (False, "min=null, max=null"), "output artefacts": (False, "missing: gone"), "ALL": (False, "1 of 5 passed")}
