@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass
+from math import fsum
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +24,8 @@ from scorelab.operators.sampling import bounded_sample
 from scorelab.operators.segments import one_row
 from scorelab.session import dealt, materialise
 
+#: Rows of the sample on which the starts of k-means run.
+CORESET = 20_000
 BLOCK_ROWS = 500  # about so many rows of a bounded sample are compared with as many others at a time
 
 
@@ -58,34 +66,130 @@ def in_parallel(spark: SparkSession, tasks: Iterable[Callable], workers: int) ->
         return pool.map(lambda task: task(), wrapped)
 
 
+@dataclass(frozen=True)
+class Clustering:
+    """Centres, the summed squared distances of all rows to the nearest one, and the rounds over all rows."""
+
+    centres: tuple[tuple[float, ...], ...]
+    cost: float
+    rounds: int
+
+
+def _nearest(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index of and squared distance to each point's nearest centre; differences, not products, so near ones stay exact."""
+    distances = np.stack([((points - c) ** 2).sum(axis=1) for c in centres], axis=1)
+    found = distances.argmin(axis=1)
+    return found, distances[np.arange(len(points)), found]
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return np.array(column.values.to_numpy(zero_copy_only=False)[column.offsets[0].as_py() : column.offsets[-1].as_py()]).reshape(len(column), -1)
+
+
+def coreset(vectors: DataFrame, key: str, size: int, seed: int) -> DataFrame:
+    """(features, weight): a sample of about ``size`` rows on which any centres cost about what they cost on all rows.
+
+    A row is kept with probability size * (1 / 2n + d / 2D), d its squared distance to the mean and
+    D their sum, and weighs one over that: far rows are kept more often and weigh less.  With
+    ``size / 2`` rows or fewer all are kept with weight one.  Draws are hashes of the key.
+    """
+    whole = vectors.select(Summarizer.metrics("mean", "variance", "count").summary(F.col("features")).alias("s")).select("s.*").first()
+    n, mean = whole["count"], np.array(whole["mean"].toArray() if whole["count"] else [])
+    spread = float(np.sum(whole["variance"].toArray())) * (n - 1) if n > 1 else 0.0
+    draws = F.xxhash64(named(key), F.lit(seed)).bitwiseAND(F.lit((1 << 52) - 1)) / F.lit(float(1 << 52))
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            distance = ((_matrix(batch.column(0)) - mean) ** 2).sum(axis=1)
+            share = 0.5 / n + (0.5 * distance / spread if spread else 0.5 / n)
+            chance = np.minimum(1.0, size * share)
+            kept = pa.array(batch.column(1).to_numpy() < chance)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / chance)], names=["point", "weight"]).filter(kept)
+
+    rows = vectors.select(vector_to_array("features").alias("point"), draws.alias("draw"))
+    return rows.mapInArrow(run, "point array<double>, weight double").select(array_to_vector("point").alias("features"), "weight")
+
+
+def finished(points: DataFrame, centres: Sequence[Sequence[float]], max_iter: int, tol: float = 1e-4) -> Clustering:
+    """Centres moved over all rows (point) until they stay, as Lloyd's rounds.
+
+    A round sends the centres to the tasks and gets one count, sum and cost per task and centre; a
+    centre that loses all rows stays where it is.
+    """
+    now, cost, rounds = np.array(centres, float), 0.0, 0
+    while True:
+        held = now
+
+        def run(batches, held=held):
+            k = len(held)
+            counts, sums, costs = np.zeros(k, np.int64), np.zeros_like(held), np.zeros(k)
+            for batch in batches:
+                if batch.num_rows:
+                    matrix = _matrix(batch.column(0))
+                    found, distance = _nearest(matrix, held)
+                    counts += np.bincount(found, minlength=k)
+                    costs += np.bincount(found, distance, minlength=k)
+                    np.add.at(sums, found, matrix)
+            yield pa.RecordBatch.from_arrays([pa.array(range(k), pa.int32()), pa.array(counts), pa.array(list(sums), pa.list_(pa.float64())), pa.array(costs)], names=["centre", "n", "total", "cost"])
+
+        parts = points.mapInArrow(run, "centre int, n long, total array<double>, cost double").toArrow()  # tasks times k small rows
+        index, n = parts.column("centre").to_numpy(), parts.column("n").to_numpy()
+        count, total = np.bincount(index, n, minlength=len(now)), np.zeros_like(now)
+        # fsum: the same sums in whatever order the tasks answer.
+        rows = np.array(parts.column("total").to_pylist()).reshape(len(index), -1)
+        for c in range(len(now)):
+            total[c] = [fsum(column) for column in rows[index == c].T]
+        cost = fsum(parts.column("cost").to_pylist())
+        moved = np.where(count[:, None] > 0, total / np.maximum(count, 1)[:, None], now)
+        if rounds == max_iter or np.sqrt(((moved - now) ** 2).sum(axis=1)).max() <= tol:
+            return Clustering(tuple(tuple(map(float, c)) for c in now), cost, rounds)
+        now, rounds = moved, rounds + 1
+
+
 def best_kmeans(vectors: DataFrame, key: str, ks: Sequence[int], seed: int = 42, starts: int = 10,
-                workers: int = 8, max_iter: int = 300, parts: int | None = None) -> dict[int, KMeansModel]:
-    """Per k the cheapest of several seeded starts, each run until its centres stay.
+                workers: int = 8, max_iter: int = 300, parts: int | None = None, size: int = CORESET) -> dict[int, Clustering]:
+    """Per k the cheapest of several seeded starts, moved over all rows until its centres stay.
 
-    The starts draw per partition, so rows are dealt by a hash of ``key`` into ``parts``
-    partitions: the same fit on any number of cores.
+    The starts run on one weighted coreset of about ``size`` rows, so the number of passes over all
+    rows does not grow with the starts; inertia and final centres are those of all rows.  Rows
+    are dealt by a hash of ``key`` into ``parts`` partitions: the same fit on any number of cores.
     """
+    rows = dealt(vectors.select(named(key), "features"), key, parts).persist()
+    # A bounded sample: one partition, so that a start is one task a round.
+    small = materialise(coreset(rows, key, size, seed).coalesce(1), "coreset").coalesce(1).persist()
+    points = rows.select(vector_to_array("features").alias("point"))
+
+    def start(k: int, turn: int) -> Callable[[], tuple[int, float, list]]:
+        estimator = KMeans(k=k, seed=seed + turn, maxIter=max_iter, featuresCol="features", weightCol="weight")
+
+        def fitted():
+            model = estimator.fit(small)
+            return k, model.summary.trainingCost, [tuple(map(float, c)) for c in model.clusterCenters()]
 
-    def fit(k: int, start: int) -> Callable[[], tuple[int, KMeansModel]]:
-        estimator = KMeans(k=k, seed=seed + start, maxIter=max_iter, featuresCol="features")
-        return lambda: (k, estimator.fit(rows))
+        return fitted
 
-    rows = dealt(vectors.select(named(key), "features"), key, parts).select("features").persist()
     try:
-        fitted = in_parallel(vectors.sparkSession, [fit(k, start) for k in ks for start in range(starts)], workers)
+        tried = in_parallel(vectors.sparkSession, [start(k, turn) for k in ks for turn in range(starts)], workers)
+        best = {k: min((t for t in tried if t[0] == k), key=lambda t: t[1])[2] for k in ks}
+        found = in_parallel(vectors.sparkSession, [lambda k=k: finished(points, best[k], max_iter) for k in ks], workers)
     finally:
         rows.unpersist()
-    return {k: min((m for kk, m in fitted if kk == k), key=lambda m: m.summary.trainingCost) for k in ks}
+        small.unpersist()
+    return dict(zip(ks, found))
 
 
-def assign_clusters(vectors: DataFrame, model: KMeansModel, name: str = "Cluster") -> DataFrame:
+def assign_clusters(vectors: DataFrame, model: Clustering, name: str = "Cluster") -> DataFrame:
     """Cluster per row.  Ids follow the centres in descending order, so equal
     clusterings carry equal ids whatever the start."""
-    centres = [tuple(c) for c in model.clusterCenters()]
-    order = sorted(range(len(centres)), key=lambda i: centres[i], reverse=True)
-    canonical = F.array(*[F.lit(order.index(i)) for i in range(len(centres))])
-    found = model.setPredictionCol("_found").transform(vectors)
-    return found.withColumn(name, F.element_at(canonical, F.col("_found") + 1)).drop("_found")
+    centres = np.array(sorted(model.centres, reverse=True))
+
+    @F.pandas_udf("int")
+    def nearest(points: pd.Series) -> pd.Series:
+        return pd.Series(_nearest(np.stack(points.to_list()), centres)[0].astype(np.int32) if len(points) else np.zeros(0, np.int32))
+
+    return vectors.withColumn(name, nearest(vector_to_array("features")))
 
 
 def kmeans_scan(
@@ -96,7 +200,7 @@ def kmeans_scan(
     starts: int = 10,
     sample_cap: int | None = None,
     workers: int = 8,
-    models: dict[int, KMeansModel] | None = None,
+    models: dict[int, Clustering] | None = None,
 ) -> DataFrame:
     """(k, inertia, silhouette, iterations) sorted by k.
 
@@ -114,7 +218,7 @@ def kmeans_scan(
         return lambda: silhouette_sampled(points, "Cluster", "features", key, sample_cap, seed).first()[0]
 
     scores = in_parallel(vectors.sparkSession, [score(k) for k in ks], workers)
-    rows = [(k, float(models[k].summary.trainingCost), float(s), models[k].summary.numIter) for k, s in zip(ks, scores)]
+    rows = [(k, models[k].cost, float(s), models[k].rounds) for k, s in zip(ks, scores)]
     return vectors.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double, iterations int").orderBy("k")
 
 

@@ -60,6 +60,8 @@ def write_version(df: DataFrame, path: str, ranges: Sequence[str] = ()) -> Facts
     The observed rows are those of the writing tasks themselves, each task counted once.
     """
     spark = df.sparkSession
+    # An empty history first, so that looking for the last version finds a folder.
+    spark.createDataFrame([], RECORD).write.mode("ignore").json(_history(path))
     before = table_facts(spark, path)
     watch = Observation("facts")
     ends = [c for i, name in enumerate(ranges) for c in (F.min(named(name).cast("double")).alias(f"low{i}"), F.max(named(name).cast("double")).alias(f"high{i}"))]
