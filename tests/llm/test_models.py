@@ -100,25 +100,82 @@ def test_toxicity(spark):
     assert all(r.predicted == (r.score >= 0.7) for r in rows)
 
 
-def test_backoff_is_a_distribution():
-    """Each class's next-letter probabilities after a known context add up to one over shared letters."""
-    grams, ordinary, toxic = ["####a", "###ab", "##ab#", "###ac", "##ac#"], [5, 4, 4, 1, 1], [2, 0, 0, 2, 2]
-    evidence = toxicity.Evidence(grams, ordinary, toxic)
-    assert evidence.word("ac") > 0 > evidence.word("ab")
-    assert evidence.word("zz") == evidence.contexts.get("####", 0.0)  # unknown letters: back-off weights only
+class KneserNey:
+    """The two models by their definition, letter by letter, from raw words; nothing of the library's."""
+
+    def __init__(self, ordinary, toxic):
+        self.letters = {c for w in [*ordinary, *toxic] for c in w} | {"#"}
+        counts = [{}, {}]
+        for kind, words in enumerate((ordinary, toxic)):
+            for word in words:
+                padded = "####" + word + "#"
+                for i in range(4, len(padded)):
+                    gram = padded[i - 4 : i + 1]
+                    counts[kind][gram] = counts[kind].get(gram, 0) + 1
+        sizes = [sum(c.values()) for c in counts]
+        self.top = [{g: n * min(sizes) / size for g, n in c.items()} for c, size in zip(counts, sizes)]
+        self.kinds = {5: set(counts[0]) | set(counts[1])}
+        for order in (4, 3, 2, 1):
+            self.kinds[order] = {g[1:] for g in self.kinds[order + 1]}
+
+    def lower(self, letter, context):
+        """Shared probability by distinct predecessors; unseen letters have an equal share of the last order."""
+        order = len(context) + 1
+        counts = {c: len([g for g in self.kinds[order + 1] if g[1:] == context + c]) for c in self.letters}
+        total, seen = sum(counts.values()), sum(n > 0 for n in counts.values())
+        below = (lambda: 1 / (seen + 1)) if not context else (lambda: self.lower(letter, context[1:]))
+        if not total:
+            return below()
+        n = counts.get(letter, 0)
+        return (max(n - 0.75, 0) + 0.75 * seen * below()) / total
+
+    def probability(self, kind, letter, context):
+        table = self.top[kind]
+        own = [table.get(context + c, 0) for c in self.letters]
+        if not sum(own):
+            return self.lower(letter, context[1:])
+        freed = sum(min(n, 0.75) for n in own)
+        return (max(table.get(context + letter, 0) - 0.75, 0) + freed * self.lower(letter, context[1:])) / sum(own)
+
+    def ratio(self, word):
+        padded = "####" + word + "#"
+        return sum(np.log(self.probability(1, padded[i], padded[i - 4 : i]) / self.probability(0, padded[i], padded[i - 4 : i])) for i in range(4, len(padded)))
+
+
+ORDINARY, TOXIC = "the cat sat on the mat and the hat that sat there a cab".split() * 3, "the bad cat spat at that rat a bat".split() * 2
+
+
+def test_models_are_distributions():
+    model = KneserNey(ORDINARY, TOXIC)
+    for context in ("####", "##th", "##ca", "#the", "zzzz"):
+        for kind in (0, 1):
+            known = sum(model.probability(kind, c, context) for c in model.letters)
+            assert known + model.probability(kind, "?", context) == pytest.approx(1)
+
+
+def test_evidence_by_definition(spark):
+    docs = spark.createDataFrame([(" ".join(ORDINARY), 0), (" ".join(TOXIC), 1)], "text string, toxic int").withColumn("side", F.col("toxic"))
+    model, reader = KneserNey(ORDINARY, TOXIC), toxicity.held(toxicity.evidence(toxicity.ngram_counts(docs)))
+    assert reader.whole
+    for word in [*ORDINARY, *TOXIC, "theca", "bats", "cats", "hatter"]:
+        assert reader.word(word) == pytest.approx(model.ratio(word)), word
+    assert reader.word("spat") > 0 > reader.word("mat")
 
 
 def test_rare_grams_count_in_a_large_class(spark, monkeypatch):
-    """A word seen once among 600,000 n-grams keeps its evidence, and the tables give what memory gives."""
+    """A word seen once among 600,000 n-grams keeps its evidence, and joins give what tables in the tasks give."""
     filler = " ".join(["ab"] * 200_000)
     rows = [(0, filler, 0), (2, filler + " xyzzy", 1), (3, "ab ba qux", 0)]
-    docs = spark.createDataFrame([r[:2] for r in rows] + [(9, "xyzzy ab"), (10, "new words qux xyzzy")], "doc_id long, text string")
-    monkeypatch.setattr(toxicity, "HEAD_WORDS", 1)
-    grams = toxicity.ngram_counts(toxicity.word_counts(spark.createDataFrame([r[1:] for r in rows], "text string, toxic int")))
-    model = toxicity.Model([1.0, 0.5, 0.25, 0.1], grams, toxicity.gram_evidence(grams))
-    assert model.tables[0].where("gram = 'xyzzy'").first().value > 0
-    found = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
-    assert found == pytest.approx({r.doc_id: model.score(r.text, {}) for r in docs.collect()}, abs=1e-9) and found[9] > found[3]
+    docs = spark.createDataFrame([r[:2] for r in rows] + [(9, "xyzzy ab"), (10, "new words qux xyzzy"), (10, "ab"), (None, None), (11, "")], "doc_id long, text string")
+    grams = toxicity.ngram_counts(spark.createDataFrame([(*r[1:], r[0] % 2) for r in rows], "text string, toxic int, side int"))
+    model = toxicity.Model([1.0, 0.5, 0.25, 0.1], toxicity.evidence(grams))
+    assert model.table.where("key = 'xyzzy'").first().value > 0
+    expected = sorted((str(r.doc_id), model.score(r.text)) for r in docs.collect())
+    for head in (1, 12, 1000):
+        monkeypatch.setattr(toxicity, "HEAD", head)
+        found = sorted((str(r.doc_id), r.score) for r in toxicity.score(docs, model).collect())
+        assert [i for i, _ in found] == [i for i, _ in expected] and [x for _, x in found] == pytest.approx([x for _, x in expected], abs=1e-9)
+    assert model.score("xyzzy ab") > model.score("ab ba qux")
 
 
 def test_toxicity_of_odd_rows(spark, odd, odd_rows, none):

@@ -17,7 +17,7 @@ def test_stages(spark, small, tmp_path):
             assert docs.columns == columns
         if name == "toxicity":
             model = toxicity.fit(before, spark.read.parquet(f"{small}/labels.parquet"))
-            assert {r.doc_id for r in docs.collect()} == {r.doc_id for r in before.collect() if model.score(r.text, {}) < 0.7}
+            assert {r.doc_id for r in docs.collect()} == {r.doc_id for r in before.collect() if model.score(r.text) < 0.7}
         if name == "line_dedup":
             expected = brute_lines([(r.doc_id, r.text, r.source) for r in before.collect()], line_dedup.SPREAD)
             assert sorted([(r.doc_id, r.text) for r in docs.collect()], key=str) == expected
