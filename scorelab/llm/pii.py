@@ -22,7 +22,8 @@ EMAIL, IP, CARD, PHONE = range(4)
 
 # --- fixed values: patterns of the four kinds ------------------------------------
 EMAIL_PATTERN = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-IP_PATTERN = re.compile(r"([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
+# A match never begins inside a run of digits; saying so keeps long runs linear.
+IP_PATTERN = re.compile(r"(?<![0-9])([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
 CARD_PATTERN = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE_PATTERN = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 # --- end of fixed values ---------------------------------------------------------

@@ -1,6 +1,7 @@
 """Secret and personal-data scans: base spans by brute force, added spans by hand-made cases."""
 
 import hashlib
+import time
 import re
 
 from hypothesis import given, settings
@@ -95,7 +96,16 @@ def test_gates_let_all_disguises_through(monkeypatch):
         assert [k for k, _ in added(text)] == [kind]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.text("0123456789", min_size=1, max_size=40), st.sampled_from([".", "..", " ", "1.2.3.4", "a"])), max_size=14).map("".join))
+def test_long_runs_of_digits(text):
+    assert sorted(pii.scan(text)[0]) == brute_pii(text)
+
+
 def test_hostile_lengths():
+    start = time.time()
+    assert [s for s in pii.scan("x. " + "1" * 1_000_000 + "y")[0] if s[1] == pii.IP] == []
+    assert time.time() - start < 20
     assert pii.scan("a" + " dot a" * 5000 + "@")[0] == []
     assert secret_scan.scan("token" + " " * 100_000)[0] == []
 
