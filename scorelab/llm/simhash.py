@@ -347,8 +347,11 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> Dat
 
     rows, linked, roots = rows.withColumn("root", F.col("node")), None, None
     for turn in range(ROUNDS):
-        draw = F.xxhash64("node", F.lit(turn)).alias("draw")
-        heads = rows.groupBy("token").agg(F.min(F.struct(draw, "node", "root", "size")).alias("head"))
+        # First the most ordinary text of each crowd, whose first shingles are nearly all shared, as an
+        # unedited original's are; then any one.
+        shared = rows.groupBy("node").agg(F.count("*").alias("shared")) if turn == 0 else rows.select("node", F.lit(0).alias("shared")).distinct()
+        ranked = rows.join(shared.withColumn("draw", F.struct(-F.col("shared"), F.xxhash64("node", F.lit(turn)))), "node")
+        heads = ranked.groupBy("token").agg(F.min(F.struct("draw", "node", "root", "size")).alias("head"))
         tried = rows.join(heads, "token").where("root <> head.root").where(F.least("size", "head.size") >= similarity * F.greatest("size", "head.size") - 1e-9)
         edges = materialise(tried.groupBy("node").agg(F.min("head").alias("head")).select(F.greatest("node", "head.node").alias("u"), F.least("node", "head.node").alias("v")).distinct(), "candidates")
         linked = verified(edges) if linked is None else linked.unionAll(verified(edges))
