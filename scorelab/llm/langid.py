@@ -1,10 +1,10 @@
 """Language identification with bit-sliced Bloom filters of n-grams.
 
-Each language owns one Bloom filter of its frequent letter 4-grams; the filters are stored
-sliced, one bit mask of languages per slot, so one probe answers for all languages at once:
-the AND of a few slots is the set of languages that have the n-gram.  A text's hits per
-language are corrected by the false-positive rate of that language's filter; the largest
-corrected share decides.
+Each language owns one Bloom filter of its letter 4-grams; the filters are stored sliced, one
+bit mask of languages per slot, so one probe answers for all languages at once: the AND of a
+few slots is the set of languages that have the n-gram.  A text's hits per language are
+corrected by the false-positive rate of that language's filter; the largest corrected share
+decides.
 """
 
 from __future__ import annotations
@@ -14,17 +14,18 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from scorelab.llm.common import fold, map_texts, small_slices
+from scorelab.session import materialise
 
 N = 4
 PROBES = 3
-#: A language keeps n-grams with at least this share of its n-grams: 50,000 of them at most, whatever the corpus.
-MIN_SHARE = 2e-5
-#: ... and drops those that another language uses more than so many times as often (borrowed lines, quotations).
-RIVAL = 8.0
+#: A filter holds every n-gram that the language has at least so many times; one occurrence is noise.
+MIN_COUNT = 2
+#: Filters have 12 slots per n-gram of the richest language, up to 2 ** 23 slots (64 MB for 64 languages).
+#: Beyond, n-grams still all go in; the false-positive rate grows and is taken out.
+MAX_BITS = 23
 PENDING = 1 << 21
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
@@ -95,31 +96,35 @@ def ngram_counts(docs: DataFrame) -> DataFrame:
     return found.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+def places(grams: np.ndarray, bits: int):
+    """The slots of each n-gram, one array per probe."""
+    mask = np.uint64((1 << bits) - 1)
+    step = (grams >> np.uint64(40)) | np.uint64(1)
+    for i in range(PROBES):
+        yield ((grams + np.uint64(i) * step * np.uint64(0x9E3779B1)) & mask).astype(np.int64)
+
+
+def size_bits(most: int) -> int:
+    """Bits of a slot number, where the richest language has ``most`` n-grams."""
+    return min(MAX_BITS, max(10, int(np.ceil(np.log2(4 * PROBES * max(most, 1))))))
+
+
 class Filters:
-    """The sliced filters, and what is needed to read them."""
-
-    def __init__(self, langs: list[str], owners: np.ndarray, grams: np.ndarray):
-        self.langs = langs
-        most = max([1, *np.bincount(owners, minlength=len(langs))]) if len(owners) else 1
-        self.bits = max(10, int(np.ceil(np.log2(4 * PROBES * most))))
-        self.words = (len(langs) + 63) // 64
-        self.slots = np.zeros((1 << self.bits, self.words), np.uint64)
-        for place in self.places(grams):
-            np.bitwise_or.at(self.slots, (place, owners // 64), np.uint64(1) << (owners % 64).astype(np.uint64))
-        self.false_rate = np.array([float(np.mean(self.slots[:, i // 64] >> np.uint64(i % 64) & np.uint64(1))) ** PROBES for i in range(len(langs))])
-
-    def places(self, grams: np.ndarray):
-        mask = np.uint64((1 << self.bits) - 1)
-        step = (grams >> np.uint64(40)) | np.uint64(1)
-        for i in range(PROBES):
-            yield ((grams + np.uint64(i) * step * np.uint64(0x9E3779B1)) & mask).astype(np.int64)
+    """The sliced filters (a row of 64-bit words per slot) and what is needed to read them.
+
+    ``langs`` come in the order in which equal shares are resolved.
+    """
+
+    def __init__(self, langs: list[str], bits: int, slots: np.ndarray):
+        self.langs, self.bits, self.slots = langs, bits, slots
+        self.false_rate = np.array([float(np.mean(slots[:, i // 64] >> np.uint64(i % 64) & np.uint64(1))) ** PROBES for i in range(len(langs))])
 
     def shares(self, grams: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
         """Per text and language the share of n-grams in the language, false positives taken out."""
         n = np.maximum(np.bincount(owner, minlength=texts), 1)
         shares = np.zeros((texts, len(self.langs)))
-        first, *rest = self.places(grams)
-        for word in range(self.words):
+        first, *rest = places(grams, self.bits)
+        for word in range(self.slots.shape[1]):
             column = self.slots[:, word]
             masks = column[first]
             for place in rest:
@@ -130,29 +135,47 @@ class Filters:
         return shares
 
 
-def fit(docs: DataFrame, min_share: float = MIN_SHARE) -> Filters:
+def slot_masks(numbers: dict[str, int], bits: int):
+    """(slot, word, mask) of (lang, gram) rows, as far as one batch goes; masks of a slot are to be ORed."""
+    def run(batches):
+        for batch in batches:
+            owners = np.fromiter((numbers[x] for x in batch.column(0).to_pylist()), np.int64, batch.num_rows)
+            grams = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
+            slots = np.concatenate(list(places(grams, bits)))
+            owners = np.tile(owners, PROBES)
+            masks = (np.uint64(1) << (owners % 64).astype(np.uint64)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(owners // 64), pa.array(masks)], names=["slot", "word", "mask"])
+
+    return run
+
+
+def fit(docs: DataFrame, min_count: int = MIN_COUNT) -> Filters:
     """Filters from all rows of ``docs`` with a language.
 
-    What reaches the driver is bounded by 1 / min_share n-grams per language.  A language keeps
-    an n-gram by its share, so the model means the same at every corpus size.
+    Slots are filled by an aggregate; the driver gets one row per language and at most 2 ** ``MAX_BITS``
+    slots for every 64 of them, whatever the corpus.  Languages with more n-grams come first.
     """
-    counts = ngram_counts(docs)
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    shares = counts.join(F.broadcast(totals), "lang").select("lang", "gram", (F.col("n") / F.col("total")).alias("share")).where(F.col("share") >= min_share)
-    kept = shares.withColumn("most", F.max("share").over(W.partitionBy("gram"))).where(F.col("share") * RIVAL >= F.col("most")).select("lang", "gram")
-    table = kept.toArrow()
-    names = table.column("lang").to_pylist()
-    langs = sorted(set(names))
-    number = {lang: i for i, lang in enumerate(langs)}
-    return Filters(langs, np.fromiter((number[x] for x in names), np.int64, len(names)), table.column("gram").to_numpy().view(np.uint64))
+    counts = materialise(ngram_counts(docs), "ngrams")
+    sizes = counts.groupBy("lang").agg(F.sum("n").alias("total"), F.count_if(F.col("n") >= min_count).alias("kept"))
+    known = sorted(sizes.collect(), key=lambda r: (-r.total, r.lang))
+    langs = [r.lang for r in known]
+    bits = size_bits(max((r.kept for r in known), default=0))
+    numbers = {lang: i for i, lang in enumerate(langs)}
+    masks = counts.where(F.col("n") >= min_count).select("lang", "gram").mapInArrow(slot_masks(numbers, bits), "slot long, word long, mask long")
+    table = masks.groupBy("slot", "word").agg(F.bit_or("mask").alias("mask")).toArrow()
+    slots = np.zeros((1 << bits, (len(langs) + 63) // 64), np.uint64)
+    place, word, mask = (table.column(n).to_numpy() for n in ("slot", "word", "mask"))
+    slots[place, word] = mask.view(np.uint64)
+    return Filters(langs, bits, slots)
 
 
 def identify(docs: DataFrame, filters: Filters) -> DataFrame:
     """doc_id, lang_pred and score (share of the winner among all languages) of every row.
 
     Null texts and texts without a letter are ``und`` with score 0, and so is everything when no
-    language was learned; equal shares go to the language that comes first by name.  Repeated
-    rows and null ids keep their rows; other columns are ignored.
+    language was learned.  Equal shares go to the language with more n-grams in training, then to
+    the first by name; so does a text without any known n-gram, with score 0.  Repeated rows and
+    null ids keep their rows; other columns are ignored.
     """
     held = docs.sparkSession.sparkContext.broadcast(filters)
 
