@@ -1,6 +1,7 @@
 """Line dedup, language, toxicity and neighbours: brute force, held-out accuracy and recall."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,15 +65,49 @@ def test_language(spark):
 def test_masks_answer_for_all_languages():
     rng = np.random.default_rng(0)
     langs = [f"l{i:03d}" for i in range(70)]
-    grams = rng.integers(0, 1 << 63, 70 * 500).astype(np.uint64)
-    filters = langid.Filters(langs, np.repeat(np.arange(70), 500), grams)
-    assert filters.slots.shape[1] == 2
-    shares = filters.shares(grams, np.repeat(np.arange(70), 500).astype(np.int32), 70)
+    grams, owners = rng.integers(0, 1 << 63, 70 * 500).astype(np.uint64), np.repeat(np.arange(70), 500)
+    bits = langid.size_bits(500)
+    slots = np.zeros((1 << bits, 2), np.uint64)
+    rows = pa.RecordBatch.from_arrays([pa.array([langs[o] for o in owners]), pa.array(grams.view(np.int64))], names=["lang", "gram"])
+    for batch in langid.slot_masks({lang: i for i, lang in enumerate(langs)}, bits)([rows]):
+        slot, word, mask = (c.to_numpy() for c in batch.columns)
+        np.bitwise_or.at(slots, (slot, word), mask.view(np.uint64))
+    filters = langid.Filters(langs, bits, slots)
+    shares = filters.shares(grams, owners.astype(np.int32), 70)
     assert (shares.argmax(1) == np.arange(70)).all() and np.diag(shares).min() > 0.99
     stray = filters.shares(rng.integers(0, 1 << 63, 20_000).astype(np.uint64), np.zeros(20_000, np.int32), 1)
     assert stray.max() < 0.01  # false positives are taken out
 
 
+def test_filters_hold_every_ngram(spark, small):
+    """Against sets: no language that has an n-gram twice is missing, and shares differ by false positives only."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    train = [(r.lang, r.text) for r in langid.train_part(docs).where("lang IS NOT NULL").collect()]
+    filters = langid.fit(langid.train_part(docs))
+    totals, sets = {}, {}
+    for lang in {x for x, _ in train}:
+        grams, n = np.unique(langid.ngrams([t for x, t in train if x == lang])[0], return_counts=True)
+        totals[lang], sets[lang] = int(n.sum()), grams[n >= 2]
+    assert filters.langs == sorted(totals, key=lambda x: (-totals[x], x))
+    texts = [t for _, t in train][:40]
+    grams, owner, _ = langid.ngrams(texts)
+    shares = filters.shares(grams, owner, len(texts))
+    for i, lang in enumerate(filters.langs):
+        hit = np.isin(grams, sets[lang])
+        places = list(langid.places(grams[hit], filters.bits))
+        assert all((filters.slots[p, i // 64] >> np.uint64(i % 64) & np.uint64(1)).all() for p in places)
+        exact = np.bincount(owner[hit], minlength=len(texts)) / np.maximum(np.bincount(owner, minlength=len(texts)), 1)
+        assert np.abs(shares[:, i] - exact).max() < 0.05
+
+
+def test_language_ties_and_unknown_ngrams(spark):
+    rows = [(1, "de", "abcd abcd efgh"), (2, "fr", "abcd abcd"), (3, "aa", "abcd abcd")]
+    filters = langid.fit(spark.createDataFrame(rows, "doc_id long, lang string, text string"))
+    asked = spark.createDataFrame([(1, "abcd"), (2, "qqxz wvvk"), (3, "Ω"), (4, "12")], "doc_id long, text string")
+    found = {r.doc_id: (r.lang_pred, round(r.score, 3)) for r in langid.identify(asked, filters).collect()}
+    assert found == {1: ("de", 0.333), 2: ("de", 0.0), 3: ("de", 0.0), 4: ("und", 0.0)}
+
+
 def test_language_of_odd_rows(odd, odd_rows, none):
     filters = langid.fit(langid.train_part(odd))
     rows = langid.identify(odd, filters).collect()
@@ -210,6 +245,20 @@ def test_recall(spark):
     assert len(found) == (ids % 20 == 0).sum() and np.mean(hits) >= 0.9
 
 
+@pytest.mark.parametrize("rows, copies", [(2048, 1), (8192, 1), (8192, 4)])
+def test_recall_at_registered_size(spark, rows, copies):
+    """Gaussian vectors, alone or as noisy copies with as much noise as signal: no help from clusters."""
+    rng = np.random.default_rng(rows + copies)
+    vectors = np.repeat(rng.normal(size=(rows // copies, 64)), copies, 0) + (rng.normal(size=(rows, 64)) if copies > 1 else 0)
+    vectors = vectors.astype(np.float32)
+    table = spark.createDataFrame(pa.table({"vec_id": np.arange(rows), "embedding": list(vectors)}))
+    found = {}
+    for r in graph_ann.nearest(table).select("query_id", "vec_id").collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = [len(found[q] & set(exact(np.arange(rows), vectors, q, 20)[0])) / 20 for q in range(0, rows, 20)]
+    assert np.mean(hits) >= 0.9
+
+
 def test_unequal_lengths_and_copies(spark):
     """Products, not angles, count; a vector with a third of all rows gives its smallest ids."""
     rng = np.random.default_rng(2)
