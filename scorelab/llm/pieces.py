@@ -5,9 +5,12 @@ the segmentation with the largest sum of piece scores.  Giant documents are cut
 of fixed size.  What happens at a cut is a small state, the number of characters that the
 piece crossing the cut takes from the next chunk.  Each chunk yields a matrix with the best
 score from every entry state to every exit state; max-plus products combine matrices in any
-grouping, so products of blocks are formed in parallel, a scan over the blocks and then over
-the chunks finds every chunk's states, and each chunk is backtraced on its own.  Scores are
-integers, so that the grouping cannot change a sum.
+grouping, so products of blocks are formed in parallel, and a scan over the blocks and then
+over the chunks gives the best scores with which each chunk is entered.  From these each chunk
+tells where its path to every exit state comes in; such maps are combined in the same way,
+backwards, and each chunk is backtraced on its own.  Scores are integers, so that the
+grouping cannot change a sum.  Of equally good paths the one with the longest last piece
+counts, and so on towards the front: ids do not depend on where a text is cut.
 
 Between two characters that are neighbours in no piece every path has a boundary.  Texts
 are cut at such places (word starts, mostly), and short parts are looked up once per worker.
@@ -108,15 +111,17 @@ class Vocabulary:
     def __getstate__(self):
         return {k: v for k, v in self.__dict__.items() if k not in ("matcher", "singles", "strange", "memo")}
 
-    def forward(self, text: str, start: int, end: int) -> tuple[list, list, list]:
+    def forward(self, text: str, start: int, end: int, ahead: list[int] = (0,)) -> tuple[list, list, list]:
         """Best scores from ``start`` to every position, length and id (-1: none) of the last piece.
 
-        Pieces begin before ``end``; they may reach beyond it, up to the end of the text.
+        Pieces begin before ``end``; they may reach beyond it, up to the end of the text.  Paths
+        may also begin at the positions after ``start``, with the scores of ``ahead``; there the
+        length is 0 as long as no piece gives more.
         """
         text = text[start : min(len(text), end + self.longest - 1)]
         size, limit = len(text), end - start
         best, back, ids = [NEVER] * (size + 1), [0] * (size + 1), [-1] * (size + 1)
-        best[0] = 0
+        best[: len(ahead)] = ahead[: size + 1]
         strange = [i for i, c in enumerate(text) if c not in self.singles] if not self.singles.issuperset(text) else []
         strange.append(size)
         at = 0
@@ -230,6 +235,22 @@ class Vocabulary:
                 found[entry, j] = v
         return found
 
+    def origins(self, text: str, size: int, ahead: list[int]) -> list[int]:
+        """For every exit state of a chunk the entry state of its path, where ``ahead`` are the scores of the entries.
+
+        A piece that comes in from the chunk before is longer than any that ends at the same
+        place and begins here, so of equal scores the entry stays.
+        """
+        first, _ = self.cuts(text, 0, size)
+        if first < size:
+            # All paths meet at the first certain boundary.
+            back = self.forward(text[:first], 0, first, ahead)[1]
+            exits = [first] * self.longest
+        else:
+            back = self.forward(text, 0, size, ahead)[1]
+            exits = [min(size + j, len(back) - 1) for j in range(self.longest)]
+        return [_first_place(back, place) for place in exits]
+
     def between(self, text: str, entry: int, size: int, leave: int) -> list[int]:
         """Ids of a chunk's best path from one entry to one exit state."""
         first, last = self.cuts(text, 0, size)
@@ -243,18 +264,34 @@ def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum((a[:, :, None] + b[None, :, :]).max(1), NEVER)
 
 
-def states_between(matrices: list[np.ndarray], entry: int, leave: int) -> list[tuple[int, int]]:
-    """Entry and exit state of each factor on a best path from ``entry`` to ``leave``."""
-    ahead, row = [], np.full(matrices[0].shape[0], NEVER)
-    row[entry] = 0
+def _first_place(back: list[int], place: int) -> int:
+    while back[place]:
+        place -= back[place]
+    return place
+
+
+def scores_ahead(matrices: list[np.ndarray], ahead: np.ndarray) -> list[np.ndarray]:
+    """The scores of the entry states of each factor, where ``ahead`` are those of the first."""
+    found = []
     for m in matrices:
-        ahead.append(row)
-        row = np.maximum((row[:, None] + m).max(0), NEVER)
+        found.append(ahead)
+        ahead = np.maximum((ahead[:, None] + m).max(0), NEVER)
+    return found
+
+
+def at_start(states: int) -> np.ndarray:
+    """The scores of the entry states of a text: nothing comes in."""
+    ahead = np.full(states, NEVER)
+    ahead[0] = 0
+    return ahead
+
+
+def states_back(origins: list[np.ndarray], leave: int) -> list[tuple[int, int]]:
+    """Entry and exit state of each factor, where the last one is left in state ``leave``."""
     found = []
-    for row, m in zip(reversed(ahead), reversed(matrices)):
-        before = int((row + m[:, leave]).argmax())
-        found.append((before, leave))
-        leave = before
+    for own in reversed(origins):
+        found.append((int(own[leave]), leave))
+        leave = int(own[leave])
     return found[::-1]
 
 
@@ -297,8 +334,15 @@ def _encoded(docs: DataFrame, model: str, chunk: int, finish, result: str) -> tu
     chunks = materialise(rows.where(giant).mapInArrow(_cut(chunk, vocabulary.longest), f"{head}, size int, text string"), "chunks")
     matrices = materialise(chunks.select("row", "chunk", "n_chunks", "size", "text").mapInArrow(_matrices(held), "row string, block int, chunk int, matrix binary"), "matrices")
     products = matrices.groupBy("row", "block").applyInPandas(_block_product, "row string, block int, matrix binary")
-    blocks = products.groupBy("row").applyInPandas(_block_states, "row string, block int, entry int, leave int")
-    states = matrices.join(blocks, ["row", "block"]).groupBy("row", "block").applyInPandas(_chunk_states, "row string, chunk int, entry int, leave int")
+    # Forwards: the scores with which blocks, then chunks, are entered.
+    blocks = products.groupBy("row").applyInPandas(_block_ahead, "row string, block int, ahead binary")
+    entered = matrices.join(blocks, ["row", "block"]).groupBy("row", "block").applyInPandas(_chunk_ahead, "row string, chunk int, ahead binary")
+    # Backwards: where paths come in, by chunk, then by block.
+    origins = materialise(chunks.join(entered, ["row", "chunk"]).select("row", "chunk", "size", "text", "ahead").mapInArrow(
+        _origins(held), "row string, block int, chunk int, origins binary"), "origins")
+    left = origins.groupBy("row", "block").applyInPandas(_block_origins, "row string, block int, origins binary").groupBy("row").applyInPandas(
+        _block_leave, "row string, block int, leave int")
+    states = origins.join(left, ["row", "block"]).groupBy("row", "block").applyInPandas(_chunk_states, "row string, chunk int, entry int, leave int")
     parts = chunks.join(states, ["row", "chunk"]).select("doc_id", "row", "chunk", "n_chunks", "size", "text", "entry", "leave").mapInArrow(
         _backtrace(held, finish, result), f"{head}, {result}")
     return whole, parts
@@ -316,7 +360,7 @@ def encode(docs: DataFrame, model: str = MODEL, chunk: int = CHUNK) -> DataFrame
 
 
 def _batch(names: list[str], columns: list) -> pa.RecordBatch:
-    kinds = {"chunk": pa.int32(), "n_chunks": pa.int32(), "text": pa.string(), "row": pa.string(), "matrix": pa.binary(), "block": pa.int32(), "size": pa.int32()}
+    kinds = {"chunk": pa.int32(), "n_chunks": pa.int32(), "text": pa.string(), "row": pa.string(), "matrix": pa.binary(), "block": pa.int32(), "size": pa.int32(), "origins": pa.binary()}
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, kinds[n]) for n, c in zip(names, columns)], names=names)
 
 
@@ -380,15 +424,46 @@ def _block_product(pdf):
     return pdf.head(1)[["row", "block"]].assign(matrix=[total.tobytes()])
 
 
-def _block_states(pdf):
+def _block_ahead(pdf):
+    pdf = pdf.sort_values("block")
+    matrices = [_square(d) for d in pdf["matrix"]]
+    return pdf[["row", "block"]].assign(ahead=[a.tobytes() for a in scores_ahead(matrices, at_start(len(matrices[0])))])
+
+
+def _chunk_ahead(pdf):
+    pdf = pdf.sort_values("chunk")
+    found = scores_ahead([_square(d) for d in pdf["matrix"]], np.frombuffer(pdf["ahead"].iloc[0], np.int64))
+    return pdf[["row", "chunk"]].assign(ahead=[a.tobytes() for a in found])
+
+
+def _origins(held):
+    def run(batches):
+        vocabulary = held.value
+        for batch in small_slices(batches, "text", SLICE):
+            rows, chunks, sizes, texts, ahead = (c.to_pylist() for c in batch.columns)
+            found = [np.array(vocabulary.origins(t, n, np.frombuffer(a, np.int64).tolist()), np.int32).tobytes() for t, n, a in zip(texts, sizes, ahead)]
+            yield _batch(["row", "block", "chunk", "origins"], [rows, [c // BLOCK for c in chunks], chunks, found])
+
+    return run
+
+
+def _block_origins(pdf):
+    total = None
+    for data in pdf.sort_values("chunk")["origins"]:
+        own = np.frombuffer(data, np.int32)
+        total = own if total is None else total[own]
+    return pdf.head(1)[["row", "block"]].assign(origins=[total.tobytes()])
+
+
+def _block_leave(pdf):
     pdf = pdf.sort_values("block")
-    found = states_between([_square(d) for d in pdf["matrix"]], 0, 0)
-    return pdf[["row", "block"]].assign(entry=[e for e, _ in found], leave=[x for _, x in found])
+    found = states_back([np.frombuffer(d, np.int32) for d in pdf["origins"]], 0)
+    return pdf[["row", "block"]].assign(leave=[x for _, x in found])
 
 
 def _chunk_states(pdf):
     pdf = pdf.sort_values("chunk")
-    found = states_between([_square(d) for d in pdf["matrix"]], int(pdf["entry"].iloc[0]), int(pdf["leave"].iloc[0]))
+    found = states_back([np.frombuffer(d, np.int32) for d in pdf["origins"]], int(pdf["leave"].iloc[0]))
     return pdf[["row", "chunk"]].assign(entry=[e for e, _ in found], leave=[x for _, x in found])
 
 

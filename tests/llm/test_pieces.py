@@ -49,7 +49,9 @@ def chunked(v, text, size):
     parts = [(text[s : e + v.longest - 1], e - s) for s, e in zip(starts, [*starts[1:], len(text)])]
     matrices = [v.matrix(t, n) for t, n in parts]
     ids = []
-    for (t, n), (entry, leave) in zip(parts, P.states_between(matrices, 0, 0)):
+    ahead = P.scores_ahead(matrices, P.at_start(v.longest))
+    origins = [v.origins(t, n, a.tolist()) for (t, n), a in zip(parts, ahead)]
+    for (t, n), (entry, leave) in zip(parts, P.states_back(origins, 0)):
         ids += v.between(t, entry, n, leave)
     total = matrices[0]
     for m in matrices[1:]:
@@ -58,14 +60,15 @@ def chunked(v, text, size):
 
 
 @pytest.mark.parametrize("alphabet", ["ab c", "the reation ", "aaaa", "the\n é漢▁ of", "==== ----", "    x"])
-def test_chunks_give_the_best_score(vocabulary, alphabet):
+def test_chunks_give_the_same_path(vocabulary, alphabet):
     draw = random.Random(4)
     for _ in range(12):
         text = "".join(draw.choice(alphabet) for _ in range(draw.randint(1, 250)))
         best = vocabulary.forward(" " + text, 0, len(text) + 1)[0][-1]
         for size in (20, 64):
             ids, score = chunked(vocabulary, text, size)
-            assert score == best and vocabulary.decode(ids) == text == vocabulary.decode(vocabulary.encode(text))
+            assert score == best and vocabulary.decode(ids) == text
+            assert ids == vocabulary.encode(text)
 
 
 def test_products_are_associative(vocabulary):
@@ -75,14 +78,14 @@ def test_products_are_associative(vocabulary):
 
 
 def test_giant_documents(spark, small, monkeypatch):
-    """With small chunks and blocks most documents take the parallel path; nothing may change but ties."""
+    """With small chunks and blocks most documents take the parallel path; nothing may change."""
     monkeypatch.setattr(P, "BLOCK", 3)
     docs = spark.read.parquet(f"{small}/documents.parquet").limit(60)
     whole = {r.doc_id: r for r in P.encoding_digests(docs).collect()}
     cut = {r.doc_id: r for r in P.encoding_digests(docs, chunk=200).collect()}
     assert len(cut) == len(whole) == 60 and max(r.n_chunks for r in cut.values()) > 20
     assert all(r.round_trip for r in [*whole.values(), *cut.values()])
-    assert sum(whole[i].ids_hash == cut[i].ids_hash for i in whole) >= 55
+    assert all(whole[i].ids_hash == cut[i].ids_hash and whole[i].n_tokens == cut[i].n_tokens for i in whole)
     texts = {r.doc_id: r.text for r in docs.collect()}
     joined = {}
     for r in sorted(P.decode(P.encode(docs, chunk=200)).collect(), key=lambda r: r.chunk):
