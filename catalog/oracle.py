@@ -366,6 +366,7 @@ ORACLE: dict[str, str] = {
     "pivot_counts": "SELECT user_id, " + ", ".join(f"count(*) FILTER (event_type = '{t}') AS {t}" for t in ("click", "view", "purchase", "error", "never"))
         + " FROM events GROUP BY 1",
     "top_values": "SELECT user_id, count(*) AS n FROM events GROUP BY 1 ORDER BY n DESC, user_id LIMIT 15",
+    "top_common_values": "SELECT lang, count(*) AS n FROM documents GROUP BY 1 ORDER BY n DESC, lang LIMIT 1",
     "filter_options": with_(QUADS, """SELECT "Country", count(*) AS "DeveloperCount" FROM quads GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15"""),
     "headline_kpis": with_(QUADS + "," + ROLES.split(SCORED)[1].lstrip(" ,\n") + "," + STAGES.split(SCORED)[1].lstrip(" ,\n"),
         f"""SELECT count(*) AS "TotalResponses", count("TrustScore") AS "RespondentsWithTrust", count(DISTINCT "Country") AS "CountryCount",

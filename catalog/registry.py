@@ -26,6 +26,7 @@ from scorelab.operators import profiles as P
 from scorelab.operators import sampling as S
 from scorelab.operators import segments as G
 from scorelab.operators.cells import build_cells, slice_totals
+from scorelab.operators.heavy import heavy_hitters
 from scorelab.operators.ranking import median_cuts
 from scorelab.operators.scores import score_responses
 from scorelab.plans import models, reports, views
@@ -508,7 +509,13 @@ def pivot_counts(spark, sf_dir):
 @query
 def top_values(spark, sf_dir):
     """The 15 most frequent users."""
-    return P.frequencies(R.load(spark, sf_dir, "events"), "user_id", "n").limit(15)
+    return heavy_hitters(R.load(spark, sf_dir, "events"), "user_id", 15, count="n")
+
+
+@query
+def top_common_values(spark, sf_dir):
+    """The most frequent language by summaries that hold two counters a task; its rows alone are counted."""
+    return heavy_hitters(R.load(spark, sf_dir, "documents"), "lang", 1, counters=2, count="n")
 
 
 @query
