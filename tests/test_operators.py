@@ -251,6 +251,16 @@ def test_forest_votes_on_planted_signal(spark):
     assert importance[0].Feature == "a" and sum(r.Importance for r in importance) == pytest.approx(1.0)
 
 
+def test_forests_vote_in_a_session_that_observed_a_write(spark):
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 3}
+    forest = C.fit_ensemble(_planted(spark), ["a", "b"], "y", seeds=(1,), trees=3, depth=2)
+    assert C.vote(forest, _planted(spark)).where("y_true = y_pred").count() > 0
+
+
 def test_label_lineage_is_refused():
     with pytest.raises(ValueError, match="TrustScore"):
         C.check_leakage(["UsageFreq", "TrustScore"], models.label_lineage())
