@@ -12,6 +12,7 @@ from catalog import frames as R
 from catalog.registry import long, query
 from scorelab.operators import classify as C
 from scorelab.operators import clustering as K
+from scorelab.operators import deep_forest as D
 from scorelab.operators import ranking
 from scorelab.plans import models, views
 
@@ -101,6 +102,17 @@ def planted_votes(spark, sf_dir):
     return _ensemble(spark, sf_dir)[1].select("o_orderkey", long("y_true"), long("y_pred"))
 
 
+@query
+def planted_deep_votes(spark, sf_dir):
+    """A label that alternates along 251 values: only leaves of single values know it, ten levels of 32 bins do not."""
+    rows = R.load(spark, sf_dir, "orders").select(
+        "o_orderkey", (F.col("o_orderkey") * 7 % 251).cast("double").alias("stripe"), F.lit(1.0).alias("flat"),
+        (F.col("o_orderkey") * 7 % 251 % 2).cast("int").alias("y"),
+    )
+    forest = D.fit_deep_ensemble(rows, ["stripe", "flat"], "y", trees=10, key="o_orderkey")
+    return D.vote_deep(forest, rows).select("o_orderkey", long("y_true"), long("y_pred"))
+
+
 @query
 def planted_importance(spark, sf_dir):
     importance = C.feature_importance(_ensemble(spark, sf_dir)[0], spark)
@@ -148,6 +160,8 @@ PLANTED = {
     "planted_points": _POINTS + """ SELECT key, 3 - g AS "Cluster", 'Cluster ' || (3 - g) AS "ClusterLabel" FROM p
         QUALIFY row_number() OVER (ORDER BY md5('0:' || key)) <= 500""",
     "planted_votes": f"SELECT o_orderkey, {_LABELLED} AS y_true, {_LABELLED} AS y_pred FROM orders WHERE o_orderkey % 7 = 0",
+    "planted_deep_votes": """SELECT o_orderkey, CAST(o_orderkey * 7 % 251 % 2 AS BIGINT) AS y_true,
+        CAST(o_orderkey * 7 % 251 % 2 AS BIGINT) AS y_pred FROM orders""",
     "planted_importance": """SELECT * FROM (VALUES ('steps', CAST(1 AS DOUBLE)), ('flat', CAST(0 AS DOUBLE))) AS v("Feature", "Importance")""",
     "planted_evaluation": f"""SELECT count(*) AS n, CAST(1 AS DOUBLE) AS accuracy, round(avg(CAST(1 - {_LABELLED} AS DOUBLE)), 6) AS baseline_accuracy,
         CAST(1 AS DOUBLE) AS balanced_accuracy, CAST(1 AS DOUBLE) AS "precision", CAST(1 AS DOUBLE) AS recall, CAST(1 AS DOUBLE) AS f1,

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from scorelab import vocabulary as V
 from scorelab.operators import classify as C
 from scorelab.operators import clustering as K
+from scorelab.operators import deep_forest as D
 from scorelab.operators import metrics as M
 from scorelab.operators.sampling import mark_test_rows
 from scorelab.operators.scores import TRUST, USAGE
@@ -62,9 +63,9 @@ def classify(
     seed: int = 42,
     seeds: Sequence[int] = tuple(V.FOREST_SEEDS),
     trees: int = 200,
-    depth: int = 30,
+    depth: int | None = None,
 ) -> Evaluated:
-    """Predict the focus quadrant.
+    """Predict the focus quadrant, by trees without a limit unless ``depth`` sets one.
 
     No trust component is a predictor.  Usage inputs are, on purpose: the question is
     which habits go with low trust among heavy users, so their share in the label is known.
@@ -72,13 +73,18 @@ def classify(
     cuts = score_cuts(scored)
     marked = materialise(mark_test_rows(model_rows(scored, cuts), V.LABEL, V.KEY, fraction, seed), "split")
     train, test = marked.where(~F.col("is_test")), marked.where("is_test")
-    ensemble = C.fit_ensemble(train, V.PREDICTORS, V.LABEL, seeds, trees, depth, label_lineage(), key=V.KEY)
-    voted = C.vote(ensemble, test.select(V.KEY, *V.PREDICTORS, V.LABEL)).drop(V.LABEL)
+    asked = test.select(V.KEY, *V.PREDICTORS, V.LABEL)
+    if depth is None:
+        ensemble = D.fit_deep_ensemble(train, V.PREDICTORS, V.LABEL, seeds, trees, label_lineage(), key=V.KEY)
+        voted, importance = D.vote_deep(ensemble, asked), D.deep_importance(ensemble, scored.sparkSession)
+    else:
+        ensemble = C.fit_ensemble(train, V.PREDICTORS, V.LABEL, seeds, trees, depth, label_lineage(), key=V.KEY)
+        voted, importance = C.vote(ensemble, asked), C.feature_importance(ensemble, scored.sparkSession)
     # Three forests per row are worth computing once.
-    predictions = materialise(voted, "predictions")
+    predictions = materialise(voted.drop(V.LABEL), "predictions")
     return Evaluated(
         predictions=predictions,
-        importance=C.feature_importance(ensemble, scored.sparkSession),
+        importance=importance,
         record=C.metrics_record(predictions, train, V.LABEL, cuts, V.PREDICTORS),
         confusion=M.confusion_matrix(predictions, "y_true", "y_pred"),
         report=M.classification_report(predictions, "y_true", "y_pred"),

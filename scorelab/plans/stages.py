@@ -11,6 +11,7 @@ from scorelab import vocabulary as V
 from scorelab.operators.classify import save_ensemble
 from scorelab.operators.clean import clean_responses
 from scorelab.operators.clustering import best_kmeans, cluster_summary, kmeans_scan
+from scorelab.operators.deep_forest import DeepEnsemble, save_deep_ensemble
 from scorelab.operators.scores import score_responses
 from scorelab.operators.segments import add_quadrants
 from scorelab.plans.models import Evaluated, classify, cluster_vectors, segment
@@ -50,9 +51,9 @@ def report(spark: SparkSession, out: str, exact: bool = True, role_support: int
     return reports
 
 
-def model(spark: SparkSession, out: str, k: int = 4, starts: int = 10, trees: int = 200, depth: int = 30,
+def model(spark: SparkSession, out: str, k: int = 4, starts: int = 10, trees: int = 200, depth: int | None = None,
           ks: Sequence[int] = (2, 3, 4, 5, 6)) -> Evaluated:
-    """Scored table to k scan, clusters, ensemble predictions and metrics."""
+    """Scored table to k scan, clusters, ensemble predictions and metrics; trees are unlimited without ``depth``."""
     scored = read_table(spark, f"{out}/{SCORED}")
     vectors = materialise(cluster_vectors(scored), "vectors")
     # Every k and start is fitted once; the scan and the final clusters share the models.
@@ -64,7 +65,8 @@ def model(spark: SparkSession, out: str, k: int = 4, starts: int = 10, trees: in
     summary = cluster_summary(read_table(spark, f"{out}/{MODELS}/cluster_rows"), V.CLUSTER_FEATURES)
     write_report(summary, f"{out}/{MODELS}/cluster_summary", order_by=[("Cluster", False)])
     result = classify(scored, trees=trees, depth=depth)
-    save_ensemble(result.ensemble, f"{out}/{MODELS}/rf_ensemble")
+    save = save_deep_ensemble if isinstance(result.ensemble, DeepEnsemble) else save_ensemble
+    save(result.ensemble, f"{out}/{MODELS}/rf_ensemble")
     write_report(result.importance, f"{out}/{MODELS}/paradox_feature_importance", order_by=[("Importance", True)])
     write_table(result.predictions, f"{out}/{MODELS}/rf_predictions")
     write_metrics(result.record, f"{out}/{MODELS}/rf_metrics")
