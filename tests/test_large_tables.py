@@ -1,10 +1,15 @@
 """What must not grow with the rows: rounds of jobs, rows of one dealt partition, rows of one scoring task."""
 
+from collections import Counter
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from catalog import frames as R
 from scorelab import session
+from scorelab.operators import classify as C
 from scorelab.operators import clustering as K
+from scorelab.operators import deep_forest as D
 
 
 def _points(spark, n=900):
@@ -37,3 +42,17 @@ def test_scoring_tasks_grow_with_the_orders(spark, small, monkeypatch):
     many = R.scored(spark, small)
     assert many.rdd.getNumPartitions() == 15 > plain.rdd.getNumPartitions()
     assert many.exceptAll(plain).count() == plain.exceptAll(many).count() == 0
+
+
+def test_vectors_travel_to_the_leaves_of_forests_in_blocks(spark):
+    """A row per vector and tree would be 600 x 20 rows; blocks hold the same vectors in as many rows as there are leaves."""
+    rows = spark.range(600).select("id", F.col("id").cast("double").alias("a"), (F.col("id") % 2).cast("int").alias("y"))
+    forest = C.fit_ensemble(rows, ["a"], "y", seeds=(1, 2), trees=10, depth=2, key="id")
+    cells = rows.select(F.array("a").alias("features"), F.lit(1).cast("long").alias("n0"), F.col("id").alias("n1"))
+    routed = D._routed(forest.members, 10, cells.coalesce(1))
+    sent = D._sent(routed, 1, ["n0", "n1"]).collect()
+    found = sorted((r.root, *row) for r in sent for row in np.frombuffer(r.block, float).reshape(-1, 3).tolist())
+    expected = sorted((root, r.features[0], r.n0, r.n1) for r in routed.collect() for root in r.roots)
+    assert found == expected and len(expected) == 12000
+    assert len(sent) < 200
+    assert D._largest(routed) == max(Counter(r[0] for r in expected).values())
