@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from catalog import frames as R
+from catalog import registry as G
 from scorelab import session
 from scorelab.operators import classify as C
 from scorelab.operators import clustering as K
@@ -56,3 +57,13 @@ def test_vectors_travel_to_the_leaves_of_forests_in_blocks(spark):
     assert found == expected and len(expected) == 12000
     assert len(sent) < 200
     assert D._largest(routed) == max(Counter(r[0] for r in expected).values())
+
+
+def test_split_csv_is_written_by_more_than_one_task(spark, small, monkeypatch):
+    """No task writes all documents, and the files are read by ranges."""
+    seen = []
+    write = G.write_survey_csv
+    monkeypatch.setattr(G, "write_survey_csv", lambda df, path: seen.append(df.rdd.getNumPartitions()) or write(df, path))
+    monkeypatch.setattr(G.R, "load", lambda s, d, t: s.read.parquet(f"{d}/{t}.parquet").repartition(3))
+    found = G.QUERIES["csv_split_roundtrip"](spark, small)
+    assert seen == [3] and found.count() == spark.read.parquet(f"{small}/documents.parquet").count()
