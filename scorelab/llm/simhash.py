@@ -323,12 +323,23 @@ def similar(pairs: DataFrame, words: int, similarity: float) -> DataFrame:
     return pairs.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
 
 
+def fingerprint_pairs(texts: DataFrame) -> DataFrame:
+    """(u, v) of the nodes of ``texts`` (node, text), each once, that fingerprints link: to the smallest node with
+    the same fingerprint, and these nodes by ``links``."""
+    marked = materialise(fingerprints(texts.select(F.col("node").alias("doc_id"), "text")), "fingerprints")
+    heads = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("head")), "heads")
+    same = marked.join(heads, "fp").where("doc_id <> head").select(F.col("doc_id").alias("a"), F.col("head").alias("b"))
+    found = links(heads.select("fp")).join(heads.select(F.col("fp").alias("u"), F.col("head").alias("a")), "u").join(heads.select(F.col("fp").alias("v"), F.col("head").alias("b")), "v")
+    return same.unionAll(found.select("a", "b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+
+
 def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """(doc_id, node, root, component_id) as ``near_duplicates`` gives, for similarity of word shingles.
 
-    An exact join: in any one order of all shingles, two sets with ``similarity`` in common share one
-    of their first few, here the rare ones first.  Copies are one node, the hash of the text.
-    Some rounds compare each node with one head of its crowds and contract what is similar; then all
+    Copies are one node, the hash of the text.  Texts whose fingerprints are near are compared first, and
+    what is similar is contracted.  An exact join finds what fingerprints miss: in any one order of
+    all shingles, two sets with ``similarity`` in common share one of their first few, here the rare
+    ones first.  Some rounds compare each node with one head of its crowds and contract what is similar; then all
     pairs that share a prefix shingle, can reach the similarity by their sizes and places and
     are not yet in one component are compared by their whole texts.
     """
@@ -345,7 +356,10 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> Dat
         pairs = edges.join(texts.select(F.col("node").alias("u"), F.col("text").alias("b")), "u").join(texts.select(F.col("node").alias("v"), F.col("text").alias("a")), "v")
         return materialise(similar(pairs, words, similarity), "links")
 
-    rows, linked, roots = rows.withColumn("root", F.col("node")), None, None
+    # Texts that share no prefix shingle with another are similar to none, so candidates' fingerprints are enough.
+    linked = verified(materialise(fingerprint_pairs(texts), "candidates"))
+    rows = rows.join(connected(linked).withColumnRenamed("u", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rows = materialise(rows.select("token", "node", "size", "place", "root"), "crowds")
     for turn in range(ROUNDS):
         # First the most ordinary text of each crowd, whose first shingles are nearly all shared, as an
         # unedited original's are; then any one.
@@ -354,7 +368,7 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> Dat
         heads = ranked.groupBy("token").agg(F.min(F.struct("draw", "node", "root", "size")).alias("head"))
         tried = rows.join(heads, "token").where("root <> head.root").where(F.least("size", "head.size") >= similarity * F.greatest("size", "head.size") - 1e-9)
         edges = materialise(tried.groupBy("node").agg(F.min("head").alias("head")).select(F.greatest("node", "head.node").alias("u"), F.least("node", "head.node").alias("v")).distinct(), "candidates")
-        linked = verified(edges) if linked is None else linked.unionAll(verified(edges))
+        linked = linked.unionAll(verified(edges))
         roots = connected(linked)
         rooted = rows.drop("root").join(roots.withColumnRenamed("u", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
         apart = rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("token")

@@ -150,3 +150,17 @@ def test_components(spark):
     edges = [(i + 1, i) for i in range(40)] + [(100 + i, 100) for i in range(1, 50)] + [(7, 7), (5, 3), (3, 5)]
     found = {r.u: r.root for r in connected(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert found == {i: 0 for i in range(1, 41)} | {100 + i: 100 for i in range(1, 50)}
+
+
+def test_stage_compares_near_fingerprints_first(spark, monkeypatch):
+    """The pipeline's stage asks fingerprints for its first pairs, and an exact join finds the rest."""
+    long = " ".join(f"w{i}" for i in range(400))
+    texts = [long, long + " end", long, "", None, "a b", "other words entirely", long.replace("w7 ", "x ")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    asked, whole = [], simhash.fingerprint_pairs
+    monkeypatch.setattr(simhash, "fingerprint_pairs", lambda nodes: asked.append(nodes.count()) or whole(nodes))
+    assert sorted(r.doc_id for r in simhash.keep_one(docs).collect()) == [0, 3, 5, 6]
+    assert asked == [3]  # texts that share a shingle with another; copies once
+    nodes = spark.createDataFrame([(1, long), (2, long + " end"), (3, "a b"), (4, "a b")], "node long, text string")
+    near = {(r.u, r.v) for r in whole(nodes).collect()}
+    assert (4, 3) in near and all(u > v for u, v in near) and not near & {(3, 1), (3, 2)}
