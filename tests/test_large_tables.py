@@ -67,3 +67,11 @@ def test_split_csv_is_written_by_more_than_one_task(spark, small, monkeypatch):
     monkeypatch.setattr(G.R, "load", lambda s, d, t: s.read.parquet(f"{d}/{t}.parquet").repartition(3))
     found = G.QUERIES["csv_split_roundtrip"](spark, small)
     assert seen == [3] and found.count() == spark.read.parquet(f"{small}/documents.parquet").count()
+
+
+def test_no_task_reads_all_rows_for_the_coreset(spark, monkeypatch):
+    """Its rows are chosen by all tasks and shuffled to the one that writes them."""
+    plans, write = [], K.materialise
+    monkeypatch.setattr(K, "materialise", lambda df, name="stage": plans.append(df._jdf.queryExecution().toString()) or write(df, name))
+    K.best_kmeans(_points(spark, 200), "id", [2], starts=1)
+    assert len(plans) == 1 and "Coalesce 1" not in plans[0] and "SinglePartition" in plans[0]
