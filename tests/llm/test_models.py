@@ -259,6 +259,48 @@ def test_recall_at_registered_size(spark, rows, copies):
     assert np.mean(hits) >= 0.9
 
 
+def test_searches_grow_with_the_input(spark, monkeypatch, tmp_path):
+    """Four times the clusters: about four times the searches of a query in a shard, not sixteen times."""
+    plain = graph_ann.search_blocks
+
+    def counted(frames, k, beam, folder=str(tmp_path)):
+        import uuid
+
+        for pdf in frames:
+            for queries in pdf["queries"]:
+                with open(f"{folder}/{uuid.uuid4().hex}", "w") as out:
+                    out.write(str(len(queries) // 8))
+            yield from plain(iter([pdf]), k, beam)
+
+    monkeypatch.setattr(graph_ann, "search_blocks", counted)
+    searches = []
+    for rows in (1024, 4096):
+        rng = np.random.default_rng(rows)
+        vectors = (4 * np.repeat(rng.normal(size=(rows // 64, 16)), 64, 0) + rng.normal(size=(rows, 16))).astype(np.float32)
+        vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+        table = spark.createDataFrame(pa.table({"vec_id": np.arange(rows), "embedding": list(vectors)}))
+        found = {}
+        for r in graph_ann.nearest(table, every=4, shard_rows=128).select("query_id", "vec_id").collect():
+            found.setdefault(r.query_id, set()).add(r.vec_id)
+        assert np.mean([len(found[q] & set(exact(np.arange(rows), vectors, q, 20)[0])) / 20 for q in range(0, rows, 4)]) >= 0.9
+        searches.append(sum(int(p.read_text()) for p in tmp_path.iterdir()) - sum(searches))
+    assert searches[1] < 6 * searches[0], searches
+
+
+def test_leaves_of_near_vectors(spark):
+    """Every vector is in one shard of bounded size, beside an outlier and nearly equal vectors too."""
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=(1500, 8))
+    vectors[:500] = vectors[0] + 1e-6 * rng.normal(size=(500, 8))
+    vectors[-1] *= 1e9
+    rows = [(i, [float(x) for x in np.float32(v)]) for i, v in enumerate(vectors)] + [(2000 + i, [float(i), 1.0]) for i in range(5)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    index, leaves, trees = graph_ann.build_index(graph_ann.usable(table), 21, 100)
+    held = [len(np.frombuffer(r.sizes, np.int64)) for r in index.select("sizes").collect()]
+    ids = np.sort(np.concatenate([np.frombuffer(r.ids, np.int64) for r in index.select("ids").collect()]))
+    assert ids.tolist() == sorted(r[0] for r in rows) and max(held) <= 160 and set(trees) == {2, 8}
+
+
 def test_unequal_lengths_and_copies(spark):
     """Products, not angles, count; a vector with a third of all rows gives its smallest ids."""
     rng = np.random.default_rng(2)
